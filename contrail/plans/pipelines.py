@@ -1,0 +1,261 @@
+"""The two end-to-end pipelines: categorical places and coordinate places.
+
+Shape of the work (each "pass" is one scan + one aggregate; the only
+full-data shuffle is the de-duplication):
+
+  raw --tokens, forbidden--> pass A: NULL profile + zero count       -> sparse columns
+      --drop sparse, dropna--> pass B: constancy + letters + approx k -> constants, categoricals
+      --dedupe (shuffle), [lookup joins], tolerant cast, clock flag--> Parquet in the shared
+        staging folder (lineage cut; survives executor loss)
+  clean: pass C: counts + NULLs created by the cast
+      --> index/one-hot fit (train) --> pass D: correlation + min/max (train) in one aggregate
+      --> assemble --> model fit (train) --> predictions + metrics (test), one aggregate
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from contrail.functions.casts import tolerant_double, tolerant_int
+from contrail.functions.clock import hhmm_to_minutes, valid_clock
+from contrail.operators.clean import cast_numeric, drop_null_rows, replace_null_tokens
+from contrail.operators.enrich import duplicate_keys, missing_keys, role_join
+from contrail.operators.features import SCALED_SUFFIX, assemble, encode_categoricals, scale_expr
+from contrail.operators.models import fit_forest, fit_linear, regression_metrics
+from contrail.operators.profile import profile_columns
+from contrail.operators.split import random_split, split_label
+from contrail.operators.stats import HIGH_CORR_THRESHOLD, trend
+from contrail.plans.config import PipelineConfig
+from contrail.session import materialize
+
+VALID_FLAG = "_valid_time"
+MATCH_FLAG = "_matched"
+FOUND = "_found"
+SPLIT_COL = "_split"
+
+
+@dataclass
+class PipelineResult:
+    clean: DataFrame                 # typed, cleaned rows (before encoding)
+    encoded: DataFrame               # features assembled, target, keys, split label
+    metrics: DataFrame               # one row per model
+    report: dict = field(default_factory=dict)
+    corr: list = field(default_factory=list)      # [(var_a, var_b, r)] full matrix
+    models: dict = field(default_factory=dict)
+    trend: DataFrame | None = None
+
+
+def _q(c: str):
+    return F.col(f"`{c}`")
+
+
+def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFrame, list[str]]:
+    """Passes A and B; returns the de-duplicated text frame and the categoricals."""
+    if cfg.target not in raw.columns:
+        raise ValueError(f"target column {cfg.target!r} not in input")
+    df = replace_null_tokens(raw, cfg.null_token)
+    df = df.drop(*cfg.forbidden)
+    report["forbidden_dropped"] = [c for c in cfg.forbidden if c in raw.columns]
+
+    # pass A: NULL profile + zero count of the target
+    t = _q(cfg.target)
+    num = t.try_cast("double") if dict(df.dtypes)[cfg.target] == "string" else t
+    prof_a = profile_columns(df, ("n_null", "pct_null"),
+                             extra={"n_zero": F.count_if(num == 0)}).collect()
+    report["n_rows"] = prof_a[0].n_rows if prof_a else 0
+    report["n_zero_target"] = prof_a[0].n_zero if prof_a else 0
+    report["null_pct"] = {r.column_name: r.pct_null for r in prof_a}
+    sparse = [r.column_name for r in prof_a
+              if r.pct_null is not None and r.pct_null > cfg.sparse_threshold_pct
+              and r.column_name != cfg.target and r.column_name not in cfg.key_columns]
+    report["sparse_dropped"] = sparse
+    df = drop_null_rows(df.drop(*sparse))
+
+    # pass B: constancy, letters, approximate cardinality
+    prof_b = profile_columns(df, ("is_constant", "has_letters", "approx_distinct")).collect()
+    report["n_rows_after_dropna"] = prof_b[0].n_rows if prof_b else 0
+    report["dropped_null_rows"] = report["n_rows"] - report["n_rows_after_dropna"]
+    protected = {cfg.target, *cfg.key_columns}
+    constants = [r.column_name for r in prof_b if r.is_constant and r.column_name not in protected]
+    report["constant_dropped"] = constants
+    df = df.drop(*constants)
+    if cfg.categorical is None:
+        cats = [r.column_name for r in sorted(prof_b, key=lambda r: r.position)
+                if r.has_letters and r.column_name not in constants
+                and r.column_name not in protected
+                and r.column_name not in cfg.exclude_categorical]
+    else:
+        cats = [c for c in cfg.categorical if c in df.columns]
+    approx = {r.column_name: r.approx_distinct for r in prof_b}
+    if cfg.max_categories is not None:
+        over = [c for c in cats if approx.get(c, 0) > cfg.max_categories]
+        if over:
+            raise ValueError(f"categorical columns above max_categories: {over}")
+    report["categorical"] = cats
+    return df.dropDuplicates(), cats
+
+
+def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
+            typed: tuple[str, ...] = (), match_flags: tuple[str, ...] = ()) -> DataFrame:
+    """Cast, clock flag, materialise, pass C; returns the clean typed frame.
+
+    ``typed`` columns are already numeric (lookup coordinates) and keep their
+    type; ``match_flags`` mark rows that found their lookup row (left join),
+    so unmatched rows are counted and then removed, as an inner join would.
+    """
+    df = cast_numeric(df, cats, keep=tuple(cfg.key_columns) + tuple(typed) + tuple(match_flags))
+    times = [c for c in cfg.time_columns if c in df.columns]
+    flag = F.lit(True)
+    for c in times:
+        flag = flag & F.coalesce(valid_clock(_q(c), cfg.strict_times), F.lit(False))
+    matched = F.lit(True)
+    for c in match_flags:
+        matched = matched & F.coalesce(_q(c), F.lit(False))
+    df = df.select(*[hhmm_to_minutes(_q(c)).alias(c) if c in times else _q(c)
+                     for c in df.columns if c not in match_flags],
+                   flag.alias(VALID_FLAG), matched.alias(MATCH_FLAG))
+    if cfg.materialize:
+        df = materialize(df, "clean")
+
+    # pass C: rows after dedupe, unmatched rows, valid clock rows, NULLs the cast created
+    keep = _q(VALID_FLAG) & _q(MATCH_FLAG)
+    data_cols = [c for c in df.columns if c not in (VALID_FLAG, MATCH_FLAG)]
+    prof_c = profile_columns(df.filter(keep), ("n_null",), columns=data_cols).collect()
+    counts = df.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if(~_q(MATCH_FLAG)).alias("unmatched"),
+                    F.count_if(_q(MATCH_FLAG) & ~_q(VALID_FLAG)).alias("bad_time")).first()
+    report["n_rows_after_dedupe"] = counts.n
+    report["duplicates"] = report["n_rows_after_dropna"] - counts.n
+    report["rows_without_lookup"] = counts.unmatched
+    report["invalid_time_rows"] = counts.bad_time
+    n_valid = prof_c[0].n_rows if prof_c else 0
+    all_null = [r.column_name for r in prof_c if n_valid and r.n_null == n_valid
+                and r.column_name != cfg.target]
+    report["cast_all_null_dropped"] = all_null
+    report["cast_null_columns"] = {r.column_name: r.n_null for r in prof_c if r.n_null}
+    clean = drop_null_rows(df.filter(keep).drop(VALID_FLAG, MATCH_FLAG, *all_null))
+    return clean
+
+
+def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
+                 report: dict) -> PipelineResult:
+    if cfg.split_key:
+        labelled = clean.withColumn(SPLIT_COL, split_label(cfg.split_key, cfg.split_weights,
+                                                           cfg.seed))
+    else:
+        parts = random_split(clean, cfg.split_weights, cfg.seed)
+        labelled = parts[0].withColumn(SPLIT_COL, F.lit(0))
+        for i, p in enumerate(parts[1:], start=1):
+            labelled = labelled.unionByName(p.withColumn(SPLIT_COL, F.lit(i)))
+    fit_frame = labelled.filter(_q(SPLIT_COL) == 0) if cfg.fit_on == "train" else labelled
+
+    # categorical encoding, fitted once for all categorical columns
+    handle = "keep" if cfg.fit_on == "train" else "error"
+    encoded, enc_model, labels = encode_categoricals(
+        labelled, cats, fit_df=fit_frame, handle_invalid=handle,
+        max_categories=None)  # cardinality already checked in pass B
+    report["categories"] = {c: len(v) for c, v in labels.items()}
+
+    # pass D: correlation of all numeric columns (incl. target) + min/max on the fit side
+    keys = set(cfg.key_columns) | {SPLIT_COL}
+    numeric = [c for c in clean.columns if c not in cats and c not in keys]
+    is_fit = (_q(SPLIT_COL) == 0) if cfg.fit_on == "train" else F.lit(True)
+    aggs, pairs = [], []
+    for i, a in enumerate(numeric):
+        xa = _q(a).cast("double")
+        aggs += [F.min(F.when(is_fit, xa)).alias(f"mn{i}"), F.max(F.when(is_fit, xa)).alias(f"mx{i}")]
+        for j in range(i + 1, len(numeric)):
+            xb = _q(numeric[j]).cast("double")
+            aggs += [F.covar_pop(xa, xb).alias(f"c{i}_{j}"), F.var_pop(xa).alias(f"va{i}_{j}"),
+                     F.var_pop(xb).alias(f"vb{i}_{j}")]
+            pairs.append((i, j))
+    row = labelled.agg(*aggs).first() if aggs else None
+    corr = []
+    for i, j in pairs:
+        den = ((row[f"va{i}_{j}"] or 0.0) * (row[f"vb{i}_{j}"] or 0.0)) ** 0.5
+        r = float("nan") if den == 0 or row[f"c{i}_{j}"] is None else row[f"c{i}_{j}"] / den
+        corr.append((numeric[i], numeric[j], r))
+    high = [(a, b, r) for a, b, r in corr if r == r and abs(r) > HIGH_CORR_THRESHOLD]
+    report["high_corr_before"] = high
+    drop = [c for c in cfg.correlated_drop if c in numeric]
+    if cfg.auto_correlated:
+        for a, b, _ in high:
+            if a not in drop and b not in drop and b != cfg.target:
+                drop.append(b)
+    report["correlated_dropped"] = drop
+    report["high_corr_after"] = [(a, b, r) for a, b, r in high if a not in drop and b not in drop]
+
+    # min-max scaling of the remaining numeric predictors, bounds from pass D
+    predictors = [c for c in numeric if c != cfg.target and c not in drop]
+    bounds = {c: (row[f"mn{numeric.index(c)}"], row[f"mx{numeric.index(c)}"]) for c in predictors}
+    scaled = encoded.select(
+        *[_q(c) for c in cfg.key_columns], _q(SPLIT_COL), _q(cfg.target).cast("double").alias(cfg.target),
+        *[_q(c) for c in cats],
+        *[scale_expr(c, *bounds[c]).alias(c + SCALED_SUFFIX) for c in predictors])
+    features = list(cats) + [c + SCALED_SUFFIX for c in predictors]
+    report["features"] = features
+    modeling = assemble(scaled, features, "features").select(
+        *cfg.key_columns, SPLIT_COL, "features", cfg.target)
+
+    train = modeling.filter(_q(SPLIT_COL) == 0)
+    test = modeling.filter(_q(SPLIT_COL) == 1)
+    models, metrics = {}, None
+    for kind in cfg.models:
+        if kind == "linear":
+            model = fit_linear(train, cfg.target, prediction=cfg.prediction)
+        elif kind == "forest":
+            model = fit_forest(train, cfg.target, prediction=cfg.prediction,
+                               num_trees=cfg.forest_trees, seed=cfg.seed)
+        else:
+            raise ValueError(f"unknown model {kind!r}")
+        models[kind] = model
+        m = regression_metrics(model.transform(test), cfg.target, cfg.prediction)
+        m = m.select(F.lit(kind).alias("model"), "*")
+        metrics = m if metrics is None else metrics.unionByName(m)
+    models["encoding"] = enc_model
+    full_corr = [(a, b, r) for a, b, r in corr] + [(b, a, r) for a, b, r in corr]
+    trend_df = trend(clean, cfg.target, cfg.trend_by) if any(
+        c in clean.columns for c in cfg.trend_by) else None
+    return PipelineResult(clean=clean, encoded=modeling, metrics=metrics, report=report,
+                          corr=full_corr, models=models, trend=trend_df)
+
+
+def run_categorical(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> PipelineResult:
+    """Places stay categories: every detected categorical is one-hot encoded."""
+    report: dict = {"pipeline": "categorical"}
+    deduped, cats = _prepare(raw, cfg, report)
+    clean = _finish(deduped, cats, cfg, report)
+    return _model_stage(clean, cats, cfg, report)
+
+
+def run_numeric(raw: DataFrame, dim: DataFrame,
+                cfg: PipelineConfig = PipelineConfig(categorical=("UniqueCarrier",))) -> PipelineResult:
+    """Places become coordinates through one lookup join per role; only the
+    fixed categorical list (the carrier) is one-hot encoded."""
+    if cfg.categorical is None:
+        cfg = cfg.with_(categorical=("UniqueCarrier",))
+    report: dict = {"pipeline": "numeric"}
+    deduped, cats = _prepare(raw, cfg, report)
+    roles = {c: p for c, p in cfg.roles.items() if c in deduped.columns}
+    cast = tolerant_double if cfg.coordinate_kind == "double" else tolerant_int
+    types = dict(dim.dtypes)
+    slim_dim = dim.select(cfg.dim_key, *[
+        (cast(F.col(a)) if types[a] == "string" else F.col(a).cast(cfg.coordinate_kind)).alias(a)
+        for a in cfg.dim_attrs])
+    missing = missing_keys(deduped, slim_dim, cfg.dim_key, list(roles))
+    report["missing_keys"] = missing            # lazy; may be large
+    report["n_missing_keys"] = missing.count()
+    report["dim_duplicate_keys"] = duplicate_keys(slim_dim, cfg.dim_key).count()
+    # left join + a found flag per role: the inner join's row loss is applied
+    # after materialisation, so the de-duplicated count stays observable
+    attrs = {**cfg.dim_attrs, FOUND: FOUND}
+    joined = role_join(deduped, slim_dim.withColumn(FOUND, F.lit(True)), cfg.dim_key, roles,
+                       attrs, how="left", unique_keys=cfg.unique_dim_keys)
+    added = tuple(f"{p}{s}" for p in roles.values() for s in cfg.dim_attrs.values())
+    flags = tuple(f"{p}{FOUND}" for p in roles.values())
+    cats = [c for c in cats if c not in roles]
+    clean = _finish(joined, cats, cfg, report, typed=added, match_flags=flags)
+    return _model_stage(clean, cats, cfg, report)
