@@ -1,0 +1,44 @@
+from contrail.plans.config import PipelineConfig
+from contrail.plans.pipelines import run_categorical, run_numeric
+from contrail.sources import scan_csv
+
+
+def test_categorical_pipeline_on_flights(spark, flights_csv):
+    raw = scan_csv(spark, flights_csv)
+    res = run_categorical(raw, PipelineConfig(split_key=("Month", "DepTime", "Distance")))
+    rep = res.report
+    assert rep["n_rows"] == 400
+    assert "TaxiIn" in rep["forbidden_dropped"]
+    assert set(rep["constant_dropped"]) == {"Year", "Cancelled"}
+    assert rep["categorical"] == ["UniqueCarrier", "TailNum", "Origin", "Dest"]
+    assert rep["correlated_dropped"] == ["CRSElapsedTime", "CRSDepTime"]
+    assert ("CRSElapsedTime", "Distance") in {(a, b) for a, b, _ in rep["high_corr_before"]} or \
+        ("Distance", "CRSElapsedTime") in {(a, b) for a, b, _ in rep["high_corr_before"]}
+    m = res.metrics.first()
+    assert m.model == "linear" and m.n > 0 and m.r2 > 0.5
+    assert [r.Month for r in res.trend.collect()] == sorted(r.Month for r in res.trend.collect())
+    plan = res.encoded._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_numeric_pipeline_with_airports(spark, flights_csv, airports_csv):
+    raw = scan_csv(spark, flights_csv)
+    airports = scan_csv(spark, airports_csv)
+    cfg = PipelineConfig(categorical=("UniqueCarrier",), models=("linear", "forest"),
+                         forest_trees=5)
+    res = run_numeric(raw, airports, cfg)
+    rep = res.report
+    assert rep["n_missing_keys"] == 1 and [r[0] for r in rep["missing_keys"].collect()] == ["XYZ"]
+    assert rep["rows_without_lookup"] > 0
+    assert "OriginLat" in res.clean.columns and dict(res.clean.dtypes)["OriginLat"] == "double"
+    assert {r.model for r in res.metrics.collect()} == {"linear", "forest"}
+    # the TailNum text column is not in the categorical list: the cast empties it, so it goes
+    assert "TailNum" in rep["cast_all_null_dropped"]
+
+
+def test_reference_parity_options(spark, flights_csv, airports_csv):
+    raw = scan_csv(spark, flights_csv)
+    cfg = PipelineConfig(categorical=("UniqueCarrier",), coordinate_kind="int", fit_on="all")
+    res = run_numeric(raw, scan_csv(spark, airports_csv), cfg)
+    assert dict(res.clean.dtypes)["OriginLat"] == "int"
+    assert res.metrics.count() == 1
