@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HIGH_CORR_THRESHOLD = 0.9
@@ -24,41 +24,71 @@ def trend(df: DataFrame, target: str, by: Sequence[str] = ("Year", "Month")) ->
             .orderBy(key))
 
 
+def pair_moments(df: DataFrame, columns: Sequence[str],
+                 bounds_where: Column | None = None) -> DataFrame:
+    """Co-moments of every column pair, as ``(pos_a, pos_b, cov, var_a, var_b)``.
+
+    Each row is unpivoted into one entry per pair ``i < j`` (plus ``i == i``
+    when bounds are asked for) and a KEYED aggregate computes
+    ``covar_pop``/``var_pop`` per pair over the rows where both values are
+    present (pairwise deletion). Three aggregates per key whatever the
+    column count: the generated code stays small and whole-stage-codegen
+    friendly, where one wide aggregate of 3*d(d-1)/2 functions exceeds the
+    codegen field limit and runs interpreted. Partial aggregation leaves
+    one row per pair and task to shuffle. ``bounds_where`` adds the min/max
+    of column ``i`` over the rows where it holds (on the ``i == i`` rows).
+    """
+    cols = list(columns)
+    diag = bounds_where is not None
+    entries = []
+    for i, a in enumerate(cols):
+        for j in range(i if diag else i + 1, len(cols)):
+            entries.append(F.struct(F.lit(i).alias("pos_a"), F.lit(j).alias("pos_b"),
+                                    F.col(f"`{a}`").cast("double").alias("x"),
+                                    F.col(f"`{cols[j]}`").cast("double").alias("y")))
+    if not entries:
+        return df.sparkSession.createDataFrame(
+            [], "pos_a int, pos_b int, cov double, var_a double, var_b double")
+    base = df.select(F.inline(F.array(*entries)), (bounds_where if diag else F.lit(True))
+                     .alias("_in"))
+    x, y = F.col("x"), F.col("y")
+    both = x.isNotNull() & y.isNotNull()
+    aggs = [F.covar_pop(F.when(both, x), F.when(both, y)).alias("cov"),
+            F.var_pop(F.when(both, x)).alias("var_a"), F.var_pop(F.when(both, y)).alias("var_b")]
+    if diag:
+        aggs += [F.min(F.when(F.col("_in"), x)).alias("min_a"),
+                 F.max(F.when(F.col("_in"), x)).alias("max_a")]
+    return base.groupBy("pos_a", "pos_b").agg(*aggs)
+
+
+def pearson(cov: Column, var_a: Column, var_b: Column) -> Column:
+    """r = cov / sqrt(var_a var_b); NaN when a variance is 0 (no ANSI error)."""
+    denom = F.sqrt(var_a * var_b)
+    return F.when(denom == 0, F.lit(float("nan"))).otherwise(cov / denom)
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full Pearson matrix in long form ``(var_a, pos_a, var_b, pos_b, corr)``.
 
-    All d(d-1)/2 pairs come from ONE aggregate of ``covar_pop``/``var_pop``
-    (numerically stable one-pass moments, merged across tasks). A constant
-    column gives NaN off the diagonal, as the reference's matrix did;
-    ``F.corr`` would raise a division by zero under ANSI instead. The
-    diagonal is 1.0. Rows with a NULL in a pair are left out of that pair.
+    One pass (see ``pair_moments``); both triangles and the unit diagonal
+    are emitted from the d(d-1)/2 computed pairs. A constant column gives
+    NaN off the diagonal, as the reference's matrix did; ``F.corr`` would
+    raise a division by zero under ANSI instead.
     """
     cols = list(columns)
-    aggs = []
-    for i, a in enumerate(cols):
-        ca = F.col(f"`{a}`").cast("double")
-        for j in range(i + 1, len(cols)):
-            cb = F.col(f"`{cols[j]}`").cast("double")
-            both = ca.isNotNull() & cb.isNotNull()
-            aggs += [F.covar_pop(ca, cb).alias(f"c_{i}_{j}"),
-                     F.var_pop(F.when(both, ca)).alias(f"va_{i}_{j}"),
-                     F.var_pop(F.when(both, cb)).alias(f"vb_{i}_{j}")]
-    wide = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("_n"))
-
-    def pair(i: int, j: int):
-        if i == j:
-            val = F.lit(1.0)
-        else:
-            lo, hi = min(i, j), max(i, j)
-            denom = F.sqrt(F.col(f"va_{lo}_{hi}") * F.col(f"vb_{lo}_{hi}"))
-            val = F.when(denom == 0, F.lit(float("nan"))).otherwise(
-                F.col(f"c_{lo}_{hi}") / denom)
-        return F.struct(F.lit(cols[i]).alias("var_a"), F.lit(i).alias("pos_a"),
-                        F.lit(cols[j]).alias("var_b"), F.lit(j).alias("pos_b"),
-                        val.cast("double").alias("corr"))
-
-    entries = [pair(i, j) for i in range(len(cols)) for j in range(len(cols))]
-    return wide.select(F.inline(F.array(*entries)))
+    spark = df.sparkSession
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "pos int, name string")
+    moments = pair_moments(df, cols).select(
+        "pos_a", "pos_b", pearson(F.col("cov"), F.col("var_a"), F.col("var_b")).alias("corr"))
+    upper = moments.select("pos_a", "pos_b", "corr")
+    lower = moments.select(F.col("pos_b").alias("pos_a"), F.col("pos_a").alias("pos_b"), "corr")
+    diag = names.select(F.col("pos").alias("pos_a"), F.col("pos").alias("pos_b"),
+                        F.lit(1.0).alias("corr"))
+    full = upper.unionByName(lower).unionByName(diag)
+    na = F.broadcast(names.select(F.col("pos").alias("pos_a"), F.col("name").alias("var_a")))
+    nb = F.broadcast(names.select(F.col("pos").alias("pos_b"), F.col("name").alias("var_b")))
+    return (full.join(na, "pos_a").join(nb, "pos_b")
+            .select("var_a", "pos_a", "var_b", "pos_b", F.col("corr").cast("double")))
 
 
 def high_corr_pairs(corr_long: DataFrame, threshold: float = HIGH_CORR_THRESHOLD) -> DataFrame:

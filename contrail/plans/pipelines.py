@@ -3,7 +3,7 @@
 Shape of the work (each "pass" is one scan + one aggregate; the only
 full-data shuffle is the de-duplication):
 
-  raw --tokens, forbidden--> pass A: NULL profile + zero count       -> sparse columns
+  raw --tokens, forbidden--> Parquet landing --> pass A: NULL profile + zero count       -> sparse columns
       --drop sparse, dropna--> pass B: constancy + letters + approx k -> constants, categoricals
       --dedupe (shuffle), [lookup joins], tolerant cast, clock flag--> Parquet in the shared
         staging folder (lineage cut; survives executor loss)
@@ -14,6 +14,7 @@ full-data shuffle is the de-duplication):
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from contrail.operators.features import SCALED_SUFFIX, assemble, encode_categori
 from contrail.operators.models import fit_forest, fit_linear, regression_metrics
 from contrail.operators.profile import profile_columns
 from contrail.operators.split import random_split, split_label
-from contrail.operators.stats import HIGH_CORR_THRESHOLD, trend
+from contrail.operators.stats import HIGH_CORR_THRESHOLD, pair_moments, trend
 from contrail.plans.config import PipelineConfig
 from contrail.session import materialize
 
@@ -52,6 +53,15 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
+def _lap(report: dict, stage: str) -> None:
+    """Record seconds spent since the previous lap under ``report['timings']``."""
+    now = time.perf_counter()
+    t = report.setdefault("timings", {})
+    last = report.get("_t", now)
+    t[stage] = round(now - last, 3)
+    report["_t"] = now
+
+
 def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFrame, list[str]]:
     """Passes A and B; returns the de-duplicated text frame and the categoricals."""
     if cfg.target not in raw.columns:
@@ -59,12 +69,18 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFra
     df = replace_null_tokens(raw, cfg.null_token)
     df = df.drop(*cfg.forbidden)
     report["forbidden_dropped"] = [c for c in cfg.forbidden if c in raw.columns]
+    if cfg.materialize:
+        # land the text input once as Parquet: the profile passes and the
+        # de-duplication then read columnar files instead of re-parsing text
+        df = materialize(df, "landed")
 
     # pass A: NULL profile + zero count of the target
     t = _q(cfg.target)
     num = t.try_cast("double") if dict(df.dtypes)[cfg.target] == "string" else t
+    _lap(report, "land")
     prof_a = profile_columns(df, ("n_null", "pct_null"),
                              extra={"n_zero": F.count_if(num == 0)}).collect()
+    _lap(report, "profile_a")
     report["n_rows"] = prof_a[0].n_rows if prof_a else 0
     report["n_zero_target"] = prof_a[0].n_zero if prof_a else 0
     report["null_pct"] = {r.column_name: r.pct_null for r in prof_a}
@@ -74,8 +90,9 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFra
     report["sparse_dropped"] = sparse
     df = drop_null_rows(df.drop(*sparse))
 
-    # pass B: constancy, letters, approximate cardinality
-    prof_b = profile_columns(df, ("is_constant", "has_letters", "approx_distinct")).collect()
+    # pass B: constancy and letters
+    prof_b = profile_columns(df, ("is_constant", "has_letters")).collect()
+    _lap(report, "profile_b")
     report["n_rows_after_dropna"] = prof_b[0].n_rows if prof_b else 0
     report["dropped_null_rows"] = report["n_rows"] - report["n_rows_after_dropna"]
     protected = {cfg.target, *cfg.key_columns}
@@ -89,11 +106,6 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFra
                 and r.column_name not in cfg.exclude_categorical]
     else:
         cats = [c for c in cfg.categorical if c in df.columns]
-    approx = {r.column_name: r.approx_distinct for r in prof_b}
-    if cfg.max_categories is not None:
-        over = [c for c in cats if approx.get(c, 0) > cfg.max_categories]
-        if over:
-            raise ValueError(f"categorical columns above max_categories: {over}")
     report["categorical"] = cats
     return df.dropDuplicates(), cats
 
@@ -114,16 +126,33 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
     matched = F.lit(True)
     for c in match_flags:
         matched = matched & F.coalesce(_q(c), F.lit(False))
+    extra = []
+    if cfg.split_key:
+        # the hash split depends on the row key only: store it with the rows
+        # so later passes read a column instead of re-hashing every row
+        extra.append(split_label(cfg.split_key, cfg.split_weights, cfg.seed).alias(SPLIT_COL))
     df = df.select(*[hhmm_to_minutes(_q(c)).alias(c) if c in times else _q(c)
                      for c in df.columns if c not in match_flags],
-                   flag.alias(VALID_FLAG), matched.alias(MATCH_FLAG))
+                   flag.alias(VALID_FLAG), matched.alias(MATCH_FLAG), *extra)
     if cfg.materialize:
         df = materialize(df, "clean")
+    _lap(report, "dedupe_cast_materialize")
 
-    # pass C: rows after dedupe, unmatched rows, valid clock rows, NULLs the cast created
+    # pass C: rows after dedupe, unmatched rows, valid clock rows, NULLs the
+    # cast created, and the (approximate) cardinality of each categorical:
+    # the fitted label lists go to the driver, so they must be bounded
     keep = _q(VALID_FLAG) & _q(MATCH_FLAG)
-    data_cols = [c for c in df.columns if c not in (VALID_FLAG, MATCH_FLAG)]
-    prof_c = profile_columns(df.filter(keep), ("n_null",), columns=data_cols).collect()
+    data_cols = [c for c in df.columns if c not in (VALID_FLAG, MATCH_FLAG, SPLIT_COL)]
+    card = {f"k__{i}": F.approx_count_distinct(_q(c)) for i, c in enumerate(cats)}
+    prof_c = profile_columns(df.filter(keep), ("n_null",), columns=data_cols,
+                             extra=card).collect()
+    _lap(report, "profile_c")
+    if prof_c and cfg.max_categories is not None:
+        over = {c: prof_c[0][f"k__{i}"] for i, c in enumerate(cats)
+                if prof_c[0][f"k__{i}"] > cfg.max_categories}
+        if over:
+            raise ValueError(f"categorical columns above max_categories={cfg.max_categories}: "
+                             f"{over}")
     counts = df.agg(F.count(F.lit(1)).alias("n"),
                     F.count_if(~_q(MATCH_FLAG)).alias("unmatched"),
                     F.count_if(_q(MATCH_FLAG) & ~_q(VALID_FLAG)).alias("bad_time")).first()
@@ -142,9 +171,8 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
 
 def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
                  report: dict) -> PipelineResult:
-    if cfg.split_key:
-        labelled = clean.withColumn(SPLIT_COL, split_label(cfg.split_key, cfg.split_weights,
-                                                           cfg.seed))
+    if SPLIT_COL in clean.columns:
+        labelled = clean
     else:
         parts = random_split(clean, cfg.split_weights, cfg.seed)
         labelled = parts[0].withColumn(SPLIT_COL, F.lit(0))
@@ -156,28 +184,28 @@ def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
     handle = "keep" if cfg.fit_on == "train" else "error"
     encoded, enc_model, labels = encode_categoricals(
         labelled, cats, fit_df=fit_frame, handle_invalid=handle,
-        max_categories=None)  # cardinality already checked in pass B
+        max_categories=None)  # cardinality already checked in pass C
     report["categories"] = {c: len(v) for c, v in labels.items()}
 
-    # pass D: correlation of all numeric columns (incl. target) + min/max on the fit side
+    _lap(report, "encode_fit")
+    # pass D: correlation of all numeric columns (incl. target) + min/max on
+    # the fit side, one keyed aggregate over the column pairs
     keys = set(cfg.key_columns) | {SPLIT_COL}
     numeric = [c for c in clean.columns if c not in cats and c not in keys]
+    clean = clean.drop(SPLIT_COL)
     is_fit = (_q(SPLIT_COL) == 0) if cfg.fit_on == "train" else F.lit(True)
-    aggs, pairs = [], []
-    for i, a in enumerate(numeric):
-        xa = _q(a).cast("double")
-        aggs += [F.min(F.when(is_fit, xa)).alias(f"mn{i}"), F.max(F.when(is_fit, xa)).alias(f"mx{i}")]
-        for j in range(i + 1, len(numeric)):
-            xb = _q(numeric[j]).cast("double")
-            aggs += [F.covar_pop(xa, xb).alias(f"c{i}_{j}"), F.var_pop(xa).alias(f"va{i}_{j}"),
-                     F.var_pop(xb).alias(f"vb{i}_{j}")]
-            pairs.append((i, j))
-    row = labelled.agg(*aggs).first() if aggs else None
-    corr = []
-    for i, j in pairs:
-        den = ((row[f"va{i}_{j}"] or 0.0) * (row[f"vb{i}_{j}"] or 0.0)) ** 0.5
-        r = float("nan") if den == 0 or row[f"c{i}_{j}"] is None else row[f"c{i}_{j}"] / den
-        corr.append((numeric[i], numeric[j], r))
+    moments = pair_moments(labelled, numeric, bounds_where=is_fit).collect()
+    _lap(report, "pass_d")
+    corr, bounds_all = [], {}
+    for m in moments:
+        a, b = numeric[m.pos_a], numeric[m.pos_b]
+        if a == b:
+            bounds_all[a] = (m.min_a, m.max_a)
+            continue
+        den = ((m.var_a or 0.0) * (m.var_b or 0.0)) ** 0.5
+        r = float("nan") if den == 0 or m.cov is None else m.cov / den
+        corr.append((a, b, r))
+    corr.sort(key=lambda t: (numeric.index(t[0]), numeric.index(t[1])))
     high = [(a, b, r) for a, b, r in corr if r == r and abs(r) > HIGH_CORR_THRESHOLD]
     report["high_corr_before"] = high
     drop = [c for c in cfg.correlated_drop if c in numeric]
@@ -190,7 +218,7 @@ def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
 
     # min-max scaling of the remaining numeric predictors, bounds from pass D
     predictors = [c for c in numeric if c != cfg.target and c not in drop]
-    bounds = {c: (row[f"mn{numeric.index(c)}"], row[f"mx{numeric.index(c)}"]) for c in predictors}
+    bounds = {c: bounds_all[c] for c in predictors}
     scaled = encoded.select(
         *[_q(c) for c in cfg.key_columns], _q(SPLIT_COL), _q(cfg.target).cast("double").alias(cfg.target),
         *[_q(c) for c in cats],
@@ -212,6 +240,7 @@ def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
         else:
             raise ValueError(f"unknown model {kind!r}")
         models[kind] = model
+        _lap(report, f"fit_{kind}")
         m = regression_metrics(model.transform(test), cfg.target, cfg.prediction)
         m = m.select(F.lit(kind).alias("model"), "*")
         metrics = m if metrics is None else metrics.unionByName(m)
@@ -219,13 +248,14 @@ def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
     full_corr = [(a, b, r) for a, b, r in corr] + [(b, a, r) for a, b, r in corr]
     trend_df = trend(clean, cfg.target, cfg.trend_by) if any(
         c in clean.columns for c in cfg.trend_by) else None
+    report.pop("_t", None)
     return PipelineResult(clean=clean, encoded=modeling, metrics=metrics, report=report,
                           corr=full_corr, models=models, trend=trend_df)
 
 
 def run_categorical(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> PipelineResult:
     """Places stay categories: every detected categorical is one-hot encoded."""
-    report: dict = {"pipeline": "categorical"}
+    report: dict = {"pipeline": "categorical", "_t": time.perf_counter()}
     deduped, cats = _prepare(raw, cfg, report)
     clean = _finish(deduped, cats, cfg, report)
     return _model_stage(clean, cats, cfg, report)
@@ -237,7 +267,7 @@ def run_numeric(raw: DataFrame, dim: DataFrame,
     fixed categorical list (the carrier) is one-hot encoded."""
     if cfg.categorical is None:
         cfg = cfg.with_(categorical=("UniqueCarrier",))
-    report: dict = {"pipeline": "numeric"}
+    report: dict = {"pipeline": "numeric", "_t": time.perf_counter()}
     deduped, cats = _prepare(raw, cfg, report)
     roles = {c: p for c, p in cfg.roles.items() if c in deduped.columns}
     cast = tolerant_double if cfg.coordinate_kind == "double" else tolerant_int
@@ -248,6 +278,7 @@ def run_numeric(raw: DataFrame, dim: DataFrame,
     missing = missing_keys(deduped, slim_dim, cfg.dim_key, list(roles))
     report["missing_keys"] = missing            # lazy; may be large
     report["n_missing_keys"] = missing.count()
+    _lap(report, "missing_keys")
     report["dim_duplicate_keys"] = duplicate_keys(slim_dim, cfg.dim_key).count()
     # left join + a found flag per role: the inner join's row loss is applied
     # after materialisation, so the de-duplicated count stays observable

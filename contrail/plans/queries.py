@@ -59,6 +59,7 @@ from contrail.operators.stats import (
 )
 from contrail.plans.config import TRIPS_CONFIG
 from contrail.plans.pipelines import run_categorical, run_numeric
+from contrail.operators.sizing import spread
 from contrail.session import staging_path
 from contrail.sources.files import merge_inputs, scan_csv
 from contrail.sources.tables import TRIPS_COLUMNS, load_table, trips, trips_text
@@ -177,7 +178,9 @@ def q_duplicate_count(spark, d):
 
 
 def q_tolerant_int(spark, d):
-    li = load_table(spark, d, "lineitem")
+    li = spread(load_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag"))
     text = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.col("l_quantity").cast("string").alias("qty"),

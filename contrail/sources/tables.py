@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.sizing import broadcast_if_small
+from contrail.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -37,26 +37,33 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Join order is chosen for scale: orders meet customer (+ place name)
     before the line-item join, so only the orders side is shuffled by
-    customer key; the line items are shuffled once by order key and once
-    by supplier key. The 25-row place table is broadcast behind a check.
+    customer key. Each dimension side is broadcast only behind a row-count
+    check; above it (as at 100 TB for orders/customer/supplier) Spark plans
+    sort-merge joins, the line items being shuffled once by order key and
+    once by supplier key, with AQE splitting skewed keys. The line items
+    are never the broadcast side.
     """
     t = lambda name: load_table(spark, sf_dir, name)
+    key = lambda name: os.path.join(sf_dir, name)
     nation = t("nation").select("n_nationkey", "n_name")
-    places = broadcast_if_small(nation, PLACE_DIM_MAX_ROWS)
+    places = broadcast_if_small(nation, PLACE_DIM_MAX_ROWS, key("nation"))
 
     cust = (t("customer").select("c_custkey", "c_nationkey")
             .join(places.withColumnRenamed("n_name", "origin"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", "origin"))
+    cust = broadcast_if_small(cust, DEFAULT_BROADCAST_ROWS, key("customer"))
     orders = (t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
               .join(cust, F.col("o_custkey") == F.col("c_custkey"))
               .select("o_orderkey", "o_orderdate", "o_orderpriority", "origin"))
+    orders = broadcast_if_small(orders, DEFAULT_BROADCAST_ROWS, key("orders"))
     supp = (t("supplier").select("s_suppkey", "s_nationkey")
             .join(places.withColumnRenamed("n_name", "dest"),
                   F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", "dest"))
-    li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                              "l_quantity")
+    supp = broadcast_if_small(supp, DEFAULT_BROADCAST_ROWS, key("supplier"))
+    li = spread(t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                     "l_quantity"))
     joined = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
 
