@@ -170,3 +170,35 @@ def min_max_scale(df: DataFrame, columns: Sequence[str], *, fit_df: DataFrame |
     scaled = {c: scale_expr(c, *bounds[c]).alias(c + suffix) for c in columns}
     out = [F.col(f"`{c}`") for c in df.columns if keep_original or c not in scaled]
     return df.select(*out, *scaled.values()), dict(bounds)
+
+
+def model_pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator, *,
+                   features: str = "features", handle_invalid: str = "keep"):
+    """One reusable ``pyspark.ml.Pipeline``: index -> one-hot -> scale -> assemble -> model.
+
+    The numeric predictors are assembled into one vector and scaled by a
+    single ``MinMaxScaler`` (one fitting pass for all of them, instead of a
+    pipeline per column); the one-hot vectors and the scaled block are then
+    assembled for ``estimator``. ``fit`` runs every stage on the training
+    frame only, and the fitted ``PipelineModel`` can be saved and replayed.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import MinMaxScaler
+
+    categorical, numeric = list(categorical), list(numeric)
+    stages = []
+    if categorical:
+        stages.append(StringIndexer(inputCols=categorical,
+                                    outputCols=[c + INDEX_SUFFIX for c in categorical],
+                                    stringOrderType="frequencyDesc",
+                                    handleInvalid=handle_invalid))
+        stages.append(OneHotEncoder(inputCols=[c + INDEX_SUFFIX for c in categorical],
+                                    outputCols=[c + ONEHOT_SUFFIX for c in categorical]))
+    parts = [c + ONEHOT_SUFFIX for c in categorical]
+    if numeric:
+        stages.append(VectorAssembler(inputCols=numeric, outputCol="_numeric"))
+        stages.append(MinMaxScaler(inputCol="_numeric", outputCol="_numeric_scaled"))
+        parts.append("_numeric_scaled")
+    stages.append(VectorAssembler(inputCols=parts, outputCol=features))
+    stages.append(estimator)
+    return Pipeline(stages=stages)

@@ -31,6 +31,7 @@ from contrail.operators.features import (
     encode_categoricals,
     explode_vector,
     min_max_scale,
+    model_pipeline,
     string_index,
 )
 from contrail.operators.models import (
@@ -375,6 +376,18 @@ def q_cv_grid(spark, d):
     return table
 
 
+def q_ml_pipeline(spark, d):
+    from pyspark.ml.regression import LinearRegression
+    typed = _no_null_rows(spark, d)
+    typed = cast_columns(typed, [c for c in NUMERIC if c in typed.columns], "int").withColumn(
+        "_split", split_label(["row_key"], (0.8, 0.2), 123))
+    lr = LinearRegression(featuresCol="features", labelCol="delay")
+    pipe = model_pipeline(list(PLACES), ["yr", "mo", "distance"], lr)
+    model = pipe.fit(typed.filter("_split = 0"))
+    pred = model.transform(typed.filter("_split = 1"))
+    return regression_metrics(pred, "delay")
+
+
 def q_pipeline_categorical(spark, d):
     return run_categorical(trips_text(spark, d), TRIPS_CONFIG).metrics
 
@@ -425,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": q_regression_metrics,
     "rf_predict": q_rf_predict,
     "cv_grid": q_cv_grid,
+    "ml_pipeline": q_ml_pipeline,
     "pipeline_categorical": q_pipeline_categorical,
     "pipeline_numeric": q_pipeline_numeric,
 }

@@ -56,3 +56,21 @@ def test_min_max_matches_spark_scaler(spark):
                             MinMaxScaler(inputCol="v", outputCol="s")]).fit(df)
     theirs = [r[0] for r in pipe.transform(df).select(vector_to_array("s")[0]).collect()]
     assert all(abs(a - b) < 1e-12 for a, b in zip(ours, theirs))
+
+
+def test_model_pipeline_fits_and_replays(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import LinearRegression
+
+    from contrail.operators.features import model_pipeline
+    rows = [(["a", "b", "c"][i % 3], float(i % 11), 2.0 * (i % 11) + (i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    pipe = model_pipeline(["k"], ["x"], LinearRegression(labelCol="y"))
+    model = pipe.fit(df)
+    path = str(tmp_path / "model")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = [r.prediction for r in model.transform(df).collect()]
+    b = [r.prediction for r in again.transform(df).collect()]
+    assert a == b
+    assert max(abs(p - r.y) for p, r in zip(a, df.collect())) < 1e-6
