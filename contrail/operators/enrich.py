@@ -73,8 +73,11 @@ def missing_keys(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]
     keys = (df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias(key))
             .filter(F.col(key).isNotNull())
             .distinct())
-    dim_keys = dim.select(key).distinct()
-    if has_at_most(dim_keys, broadcast_max_rows):
+    dim_keys = dim.select(key)
+    # bound checked on the raw rows (no shuffle); distinct keys are no more
+    small = has_at_most(dim_keys, broadcast_max_rows)
+    dim_keys = dim_keys.distinct()
+    if small:
         dim_keys = F.broadcast(dim_keys)
     return keys.join(dim_keys, on=key, how="left_anti")
 
