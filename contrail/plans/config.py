@@ -59,6 +59,15 @@ class PipelineConfig:
     def with_(self, **kw) -> "PipelineConfig":
         return replace(self, **kw)
 
+    @classmethod
+    def parity(cls, **kw) -> "PipelineConfig":
+        """The reference's choices where ours differ: encoders and scaler fitted
+        on all rows before the split, coordinates truncated to int,
+        Bernoulli ``randomSplit``."""
+        base = dict(fit_on="all", coordinate_kind="int", split_key=None)
+        base.update(kw)
+        return cls(**base)
+
 
 # The driver's ``trips`` view in the roles of the flight columns.
 TRIPS_CONFIG = PipelineConfig(
