@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from contrail.operators.sizing import DEFAULT_BROADCAST_ROWS, has_at_most
 
 
+SALT = "_salt"
+
+
 def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
     """Dimension keys listed more than once, with their multiplicity."""
     return (dim.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -26,7 +29,8 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
 def role_join(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str],
               attrs: Mapping[str, str], *, how: str = "inner", keep_role_columns: bool = False,
               unique_keys: str = "ignore",
-              broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+              salt_buckets: int = 1) -> DataFrame:
     """Join ``dim`` once per role.
 
     ``roles`` maps a fact column to its output prefix, e.g.
@@ -37,6 +41,13 @@ def role_join(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str],
     dimension keys multiply rows; ``unique_keys="error"`` refuses such a
     dimension instead. The role columns are dropped unless
     ``keep_role_columns``.
+
+    ``salt_buckets > 1`` only matters when the dimension is too large to
+    broadcast: each fact row gets a deterministic salt (a hash of the whole
+    row, stable under task retry) and the dimension is replicated once per
+    salt, so a hot key (one airport holding a third of all flights) is
+    spread over ``salt_buckets`` join tasks instead of one. AQE's skew-join
+    split does the same at run time when enabled.
     """
     if unique_keys not in ("ignore", "error"):
         raise ValueError("unique_keys must be 'ignore' or 'error'")
@@ -47,13 +58,21 @@ def role_join(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str],
             raise ValueError(f"dimension key {key!r} is not unique: "
                              + ", ".join(f"{r[key]!r} x{r['n']}" for r in dups))
     small = has_at_most(slim, broadcast_max_rows)
+    salted = salt_buckets > 1 and not small
     out = df
+    if salted:
+        out = out.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+                                          F.lit(salt_buckets)).cast("int"))
     for role_col, prefix in roles.items():
         side = slim.select(F.col(key).alias(role_col),
                            *[F.col(a).alias(f"{prefix}{suffix}") for a, suffix in attrs.items()])
         if small:
             side = F.broadcast(side)
-        out = out.join(side, on=role_col, how=how)
+        elif salted:
+            side = side.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        out = out.join(side, on=[role_col, SALT] if salted else role_col, how=how)
+    if salted:
+        out = out.drop(SALT)
     if not keep_role_columns:
         out = out.drop(*roles.keys())
     # a USING join puts the key first; restore the fact column order

@@ -54,6 +54,7 @@ class PipelineConfig:
     dim_attrs: dict = field(default_factory=lambda: dict(AIRPORT_ATTRS))
     coordinate_kind: str = "double"            # "int" reproduces the reference's truncation
     unique_dim_keys: str = "ignore"
+    join_salt_buckets: int = 1                 # >1 salts hot keys when the dimension is not broadcast
     materialize: bool = True
 
     def with_(self, **kw) -> "PipelineConfig":

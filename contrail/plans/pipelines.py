@@ -284,7 +284,8 @@ def run_numeric(raw: DataFrame, dim: DataFrame,
     # after materialisation, so the de-duplicated count stays observable
     attrs = {**cfg.dim_attrs, FOUND: FOUND}
     joined = role_join(deduped, slim_dim.withColumn(FOUND, F.lit(True)), cfg.dim_key, roles,
-                       attrs, how="left", unique_keys=cfg.unique_dim_keys)
+                       attrs, how="left", unique_keys=cfg.unique_dim_keys,
+                       salt_buckets=cfg.join_salt_buckets)
     added = tuple(f"{p}{s}" for p in roles.values() for s in cfg.dim_attrs.values())
     flags = tuple(f"{p}{FOUND}" for p in roles.values())
     cats = [c for c in cats if c not in roles]

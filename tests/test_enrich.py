@@ -54,3 +54,25 @@ def test_left_join_keeps_unmatched(facts, airports):
 def test_missing_keys(facts, airports):
     assert [r.iata for r in missing_keys(facts, airports, "iata", ["Origin", "Dest"]).collect()] == ["XYZ"]
     assert missing_key_count(facts, airports, "iata", ["Origin", "Dest"]).first().n_missing == 1
+
+
+def test_salted_shuffle_join_same_answer(spark, facts, airports):
+    plain = role_join(facts, airports, "iata", ROLES, ATTRS)
+    salted = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_rows=1,
+                       salt_buckets=4)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    left = role_join(facts, airports, "iata", ROLES, ATTRS, how="left", broadcast_max_rows=1,
+                     salt_buckets=3)
+    assert left.count() == 4
+
+
+def test_hot_key_spread_over_salts(spark, airports):
+    # one origin holds every row: salting spreads it over the join tasks
+    facts = spark.range(3000).selectExpr("cast(id as string) as id", "'ORD' as Origin",
+                                         "'DFW' as Dest")
+    out = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_rows=1, salt_buckets=8)
+    assert out.count() == 3000
+    from pyspark.sql import functions as F
+    salts = facts.select(F.pmod(F.xxhash64(*facts.columns), F.lit(8)).alias("s")).distinct().count()
+    assert salts == 8
