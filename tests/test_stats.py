@@ -44,3 +44,27 @@ def test_trend_fallback(spark):
     df = spark.createDataFrame([(1, 10), (1, 20), (2, 5)], "Month int, ArrDelay int")
     got = [tuple(r) for r in trend(df, "ArrDelay").collect()]
     assert got == [(1, 15.0, 2), (2, 5.0, 1)]
+
+
+def test_corr_pairwise_deletion_with_nulls(spark):
+    import pandas as pd
+    rows = [(float(i), None if i % 4 == 0 else float(i * i % 13), None if i % 5 == 0 else float(i % 7))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.var_a, r.var_b): r.corr for r in corr_matrix(df, ["a", "b", "c"]).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()  # pandas: pairwise complete
+    for a in "abc":
+        for b in "abc":
+            assert abs(got[(a, b)] - want.loc[a, b]) < 1e-9, (a, b)
+
+
+def test_pair_moments_bounds(spark):
+    from pyspark.sql import functions as F
+
+    from contrail.operators.stats import pair_moments
+    df = spark.createDataFrame([(1.0, 10.0, True), (3.0, 30.0, True), (9.0, 5.0, False)],
+                               "x double, y double, fit boolean")
+    rows = {(r.pos_a, r.pos_b): r for r in pair_moments(df, ["x", "y"], F.col("fit")).collect()}
+    assert (rows[(0, 0)].min_a, rows[(0, 0)].max_a) == (1.0, 3.0)
+    assert (rows[(1, 1)].min_a, rows[(1, 1)].max_a) == (10.0, 30.0)
+    assert abs(rows[(0, 1)].var_a - 12.888888888888889) < 1e-12
