@@ -67,4 +67,6 @@ def test_pair_moments_bounds(spark):
     rows = {(r.pos_a, r.pos_b): r for r in pair_moments(df, ["x", "y"], F.col("fit")).collect()}
     assert (rows[(0, 0)].min_a, rows[(0, 0)].max_a) == (1.0, 3.0)
     assert (rows[(1, 1)].min_a, rows[(1, 1)].max_a) == (10.0, 30.0)
-    assert abs(rows[(0, 1)].var_a - 12.888888888888889) < 1e-12
+    import statistics
+    assert abs(rows[(0, 1)].var_a - statistics.pvariance([1.0, 3.0, 9.0])) < 1e-12
+    assert abs(rows[(0, 1)].cov - (-50.0 / 3)) < 1e-12
