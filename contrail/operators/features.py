@@ -12,13 +12,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    VectorAssembler,
+    VectorSlicer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 INDEX_SUFFIX = "_Index"
 ONEHOT_SUFFIX = "_OneHot"
+FULL_SUFFIX = "_OneHotFull"
 SCALED_SUFFIX = "_Scaled"
 DEFAULT_MAX_CATEGORIES = 100_000
 
@@ -103,13 +110,30 @@ def encode_categoricals(df: DataFrame, columns: Sequence[str], *,
     idx_model = fit_string_indexer(base, columns, handle_invalid=handle_invalid,
                                    max_categories=max_categories)
     labels = index_labels(idx_model)
-    extra = 1 if handle_invalid == "keep" else 0
+    if drop_last and any(len(v) < 2 for v in labels.values()):
+        single = [c for c, v in labels.items() if len(v) < 2]
+        raise ValueError("one-hot with drop_last needs at least two categories; "
+                         f"single-category column(s): {single}")
     indexed_base = idx_model.transform(base)
-    _, ohe_model = one_hot(indexed_base, [c + INDEX_SUFFIX for c in columns],
-                           [c + ONEHOT_SUFFIX for c in columns], drop_last=drop_last,
-                           handle_invalid="error",
-                           n_categories={c: len(v) + extra for c, v in labels.items()})
-    model = PipelineModel(stages=[idx_model, ohe_model])
+    if handle_invalid != "keep" or not drop_last:
+        _, ohe_model = one_hot(indexed_base, [c + INDEX_SUFFIX for c in columns],
+                               [c + ONEHOT_SUFFIX for c in columns], drop_last=drop_last)
+        stages = [idx_model, ohe_model]
+    else:
+        # With an "unknown" bucket the indexer has k+1 levels and dropLast
+        # would drop the bucket, leaving all k real levels: collinear with
+        # the intercept (singular normal equations). Encode all k+1, then
+        # keep the first k-1 slots: the last real level and unseen values
+        # both become the all-zero baseline, as in the reference's encoding.
+        full = [c + FULL_SUFFIX for c in columns]
+        _, ohe_model = one_hot(indexed_base, [c + INDEX_SUFFIX for c in columns], full,
+                               drop_last=False)
+        slicers = [VectorSlicer(inputCol=f, outputCol=c + ONEHOT_SUFFIX,
+                                indices=list(range(len(labels[c]) - 1)))
+                   for c, f in zip(columns, full)]
+        stages = [idx_model, ohe_model, *slicers, SQLTransformer(
+            statement="SELECT * EXCEPT (" + ", ".join(f"`{f}`" for f in full) + ") FROM __THIS__")]
+    model = PipelineModel(stages=stages)
     return apply_encoding(df, model, columns, rename), model, labels
 
 
@@ -173,7 +197,7 @@ def min_max_scale(df: DataFrame, columns: Sequence[str], *, fit_df: DataFrame |
 
 
 def model_pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator, *,
-                   features: str = "features", handle_invalid: str = "keep"):
+                   features: str = "features", handle_invalid: str = "error"):
     """One reusable ``pyspark.ml.Pipeline``: index -> one-hot -> scale -> assemble -> model.
 
     The numeric predictors are assembled into one vector and scaled by a
@@ -181,6 +205,9 @@ def model_pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator
     pipeline per column); the one-hot vectors and the scaled block are then
     assembled for ``estimator``. ``fit`` runs every stage on the training
     frame only, and the fitted ``PipelineModel`` can be saved and replayed.
+    Unseen categories raise (the reference's behaviour); with
+    ``handle_invalid="keep"`` they get their own level, and ``dropLast``
+    then drops that level, so use a regularised estimator.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import MinMaxScaler

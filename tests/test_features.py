@@ -74,3 +74,15 @@ def test_model_pipeline_fits_and_replays(spark, tmp_path):
     b = [r.prediction for r in again.transform(df).collect()]
     assert a == b
     assert max(abs(p - r.y) for p, r in zip(a, df.collect())) < 1e-6
+
+
+def test_keep_invalid_encoding_is_full_rank(spark):
+    from pyspark.ml.functions import vector_to_array as v2a
+    train = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "k string")
+    test = spark.createDataFrame([("a",), ("c",), ("zzz",)], "k string")
+    _, model, labels = encode_categoricals(train, ["k"], handle_invalid="keep")
+    assert labels == {"k": ["a", "b", "c"]}
+    out = model.transform(test).select("k", v2a("k_OneHot").alias("v")).collect()
+    got = {r.k: r.v for r in out}
+    assert got == {"a": [1.0, 0.0], "c": [0.0, 0.0], "zzz": [0.0, 0.0]}  # size k-1
+    assert "k_OneHotFull" not in model.transform(test).columns
