@@ -25,7 +25,7 @@ def has_at_most(df: DataFrame, max_rows: int, cache_key: str | None = None) -> b
     """
     key = None
     if cache_key is not None:
-        key = (df.sparkSession.sparkContext.applicationId, cache_key, max_rows)
+        key = (_session_id(df), cache_key, max_rows)
         if key in _checked:
             return _checked[key]
     ok = df.limit(max_rows + 1).count() <= max_rows
@@ -34,6 +34,13 @@ def has_at_most(df: DataFrame, max_rows: int, cache_key: str | None = None) -> b
     return ok
 
 
+def _session_id(df: DataFrame) -> str:
+    try:
+        return df.sparkSession.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        return str(id(df.sparkSession))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        cache_key: str | None = None) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows, cache_key) else df
@@ -48,8 +55,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     retry (unlike an unsorted round-robin), no sort (unlike Spark's
     round-robin), and a single hot key value does not land in one partition.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    if have < want:
         return df.repartition(want, *[F.col(f"`{c}`") for c in df.columns])
     return df

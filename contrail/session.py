@@ -45,17 +45,20 @@ def staging_root(spark: SparkSession) -> str:
     only a local-mode session without it gets a private temp folder.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get(CHECKPOINT_CONF, None)
     if not root:
-        root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; a cluster run needs a shared folder")
         root = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
