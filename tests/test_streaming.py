@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from contrail.operators.clean import cast_columns, filter_valid_times, replace_null_tokens, times_to_minutes
 from contrail.sources.files import all_string_schema
