@@ -55,6 +55,7 @@ class PipelineConfig:
     coordinate_kind: str = "double"            # "int" reproduces the reference's truncation
     unique_dim_keys: str = "ignore"
     join_salt_buckets: int = 1                 # >1 salts hot keys when the dimension is not broadcast
+    dedupe_partitions: int | None = None       # size of the one full shuffle; None -> session/AQE
     materialize: bool = True
 
     def with_(self, **kw) -> "PipelineConfig":

@@ -30,7 +30,7 @@ from contrail.operators.profile import profile_columns
 from contrail.operators.split import random_split, split_label
 from contrail.operators.stats import HIGH_CORR_THRESHOLD, pair_moments, trend
 from contrail.plans.config import PipelineConfig
-from contrail.session import materialize
+from contrail.session import materialize_at
 
 VALID_FLAG = "_valid_time"
 MATCH_FLAG = "_matched"
@@ -72,7 +72,8 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFra
     if cfg.materialize:
         # land the text input once as Parquet: the profile passes and the
         # de-duplication then read columnar files instead of re-parsing text
-        df = materialize(df, "landed")
+        df, path = materialize_at(df, "landed")
+        report.setdefault("staged_paths", []).append(path)
 
     # pass A: NULL profile + zero count of the target
     t = _q(cfg.target)
@@ -107,6 +108,10 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFra
     else:
         cats = [c for c in cfg.categorical if c in df.columns]
     report["categorical"] = cats
+    if cfg.dedupe_partitions:
+        # hash-partition on the full row: dropDuplicates reuses this
+        # partitioning (one shuffle), with an explicit size for the data
+        df = df.repartition(cfg.dedupe_partitions, *[_q(c) for c in df.columns])
     return df.dropDuplicates(), cats
 
 
@@ -135,7 +140,8 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
                      for c in df.columns if c not in match_flags],
                    flag.alias(VALID_FLAG), matched.alias(MATCH_FLAG), *extra)
     if cfg.materialize:
-        df = materialize(df, "clean")
+        df, path = materialize_at(df, "clean")
+        report.setdefault("staged_paths", []).append(path)
     _lap(report, "dedupe_cast_materialize")
 
     # pass C: rows after dedupe, unmatched rows, valid clock rows, NULLs the

@@ -69,6 +69,10 @@ def staging_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    return materialize_at(df, label)[0]
+
+
+def materialize_at(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared staging folder and read it back.
 
     This cuts the lineage at reuse points (a lost executor re-reads files
@@ -79,4 +83,4 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path

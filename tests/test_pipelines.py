@@ -42,3 +42,20 @@ def test_reference_parity_options(spark, flights_csv, airports_csv):
     res = run_numeric(raw, scan_csv(spark, airports_csv), cfg)
     assert dict(res.clean.dtypes)["OriginLat"] == "int"
     assert res.metrics.count() == 1
+
+
+def test_dedupe_partitions_single_shuffle(spark, flights_csv):
+    from contrail.plans.pipelines import _prepare
+    raw = scan_csv(spark, flights_csv)
+    report = {}
+    deduped, _ = _prepare(raw, PipelineConfig(dedupe_partitions=6, materialize=False), report)
+    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert deduped.count() == 400
+
+
+def test_staged_paths_reported(spark, flights_csv):
+    raw = scan_csv(spark, flights_csv)
+    res = run_categorical(raw, PipelineConfig(split_key=("Month", "DepTime", "Distance")))
+    paths = res.report["staged_paths"]
+    assert len(paths) == 2 and all("contrail-" in p for p in paths)
