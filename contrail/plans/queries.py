@@ -59,7 +59,7 @@ from contrail.operators.stats import (
     trend,
 )
 from contrail.plans.config import TRIPS_CONFIG
-from contrail.plans.pipelines import run_categorical, run_numeric
+from contrail.plans.flows import run_categorical, run_numeric
 from contrail.operators.sizing import spread
 from contrail.session import staging_path
 from contrail.sources.files import merge_inputs, scan_csv
@@ -376,7 +376,7 @@ def q_cv_grid(spark, d):
     return table
 
 
-def q_ml_pipeline(spark, d):
+def q_ml_stages(spark, d):
     from pyspark.ml.regression import LinearRegression
     typed = _no_null_rows(spark, d)
     typed = cast_columns(typed, [c for c in NUMERIC if c in typed.columns], "int").withColumn(
@@ -388,11 +388,11 @@ def q_ml_pipeline(spark, d):
     return regression_metrics(pred, "delay")
 
 
-def q_pipeline_categorical(spark, d):
+def q_categorical_flow(spark, d):
     return run_categorical(trips_text(spark, d), TRIPS_CONFIG).metrics
 
 
-def q_pipeline_numeric(spark, d):
+def q_numeric_flow(spark, d):
     cfg = TRIPS_CONFIG.with_(categorical=("carrier",))
     return run_numeric(trips_text(spark, d), _cut_nation(spark, d), cfg).metrics
 
@@ -438,7 +438,7 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": q_regression_metrics,
     "rf_predict": q_rf_predict,
     "cv_grid": q_cv_grid,
-    "ml_pipeline": q_ml_pipeline,
-    "pipeline_categorical": q_pipeline_categorical,
-    "pipeline_numeric": q_pipeline_numeric,
+    "ml_stages": q_ml_stages,
+    "categorical_flow": q_categorical_flow,
+    "numeric_flow": q_numeric_flow,
 }

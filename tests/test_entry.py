@@ -5,8 +5,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from contrail.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-NO_ORACLE = {"random_split", "rf_predict", "cv_grid", "ml_pipeline", "pipeline_categorical",
-             "pipeline_numeric"}
+NO_ORACLE = {"random_split", "rf_predict", "cv_grid", "ml_stages", "categorical_flow",
+             "numeric_flow"}
 
 
 def test_contract_keys():

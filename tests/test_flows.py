@@ -1,5 +1,5 @@
 from contrail.plans.config import PipelineConfig
-from contrail.plans.pipelines import run_categorical, run_numeric
+from contrail.plans.flows import run_categorical, run_numeric
 from contrail.sources import scan_csv
 
 
@@ -45,7 +45,7 @@ def test_reference_parity_options(spark, flights_csv, airports_csv):
 
 
 def test_dedupe_partitions_single_shuffle(spark, flights_csv):
-    from contrail.plans.pipelines import _prepare
+    from contrail.plans.flows import _prepare
     raw = scan_csv(spark, flights_csv)
     report = {}
     deduped, _ = _prepare(raw, PipelineConfig(dedupe_partitions=6, materialize=False), report)
