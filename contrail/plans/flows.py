@@ -7,7 +7,7 @@ full-data shuffle is the de-duplication):
       --drop sparse, dropna--> pass B: constancy + letters + approx k -> constants, categoricals
       --dedupe (shuffle), [lookup joins], tolerant cast, clock flag--> Parquet in the shared
         staging folder (lineage cut; survives executor loss)
-  clean: pass C: counts + NULLs created by the cast
+  clean: pass C: counts, NULLs created by the cast, HLL cardinality (one aggregate)
       --> index/one-hot fit (train) --> pass D: correlation + min/max (train) in one aggregate
       --> assemble --> model fit (train) --> predictions + metrics (test), one aggregate
 """
@@ -144,33 +144,33 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
         report.setdefault("staged_paths", []).append(path)
     _lap(report, "dedupe_cast_materialize")
 
-    # pass C: rows after dedupe, unmatched rows, valid clock rows, NULLs the
-    # cast created, and the (approximate) cardinality of each categorical:
-    # the fitted label lists go to the driver, so they must be bounded
+    # pass C (one aggregate): rows after dedupe, unmatched rows, bad clock
+    # rows, NULLs the cast created among the kept rows, and the approximate
+    # cardinality of each categorical (the fitted label lists go to the
+    # driver, so they must be bounded)
     keep = _q(VALID_FLAG) & _q(MATCH_FLAG)
     data_cols = [c for c in df.columns if c not in (VALID_FLAG, MATCH_FLAG, SPLIT_COL)]
-    card = {f"k__{i}": F.approx_count_distinct(_q(c)) for i, c in enumerate(cats)}
-    prof_c = profile_columns(df.filter(keep), ("n_null",), columns=data_cols,
-                             extra=card).collect()
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(keep).alias("n_keep"),
+            F.count_if(~_q(MATCH_FLAG)).alias("unmatched"),
+            F.count_if(_q(MATCH_FLAG) & ~_q(VALID_FLAG)).alias("bad_time")]
+    aggs += [F.count_if(keep & _q(c).isNull()).alias(f"z__{i}") for i, c in enumerate(data_cols)]
+    aggs += [F.approx_count_distinct(F.when(keep, _q(c))).alias(f"k__{i}")
+             for i, c in enumerate(cats)]
+    r = df.agg(*aggs).first()
     _lap(report, "profile_c")
-    if prof_c and cfg.max_categories is not None:
-        over = {c: prof_c[0][f"k__{i}"] for i, c in enumerate(cats)
-                if prof_c[0][f"k__{i}"] > cfg.max_categories}
+    if cfg.max_categories is not None:
+        over = {c: r[f"k__{i}"] for i, c in enumerate(cats) if r[f"k__{i}"] > cfg.max_categories}
         if over:
             raise ValueError(f"categorical columns above max_categories={cfg.max_categories}: "
                              f"{over}")
-    counts = df.agg(F.count(F.lit(1)).alias("n"),
-                    F.count_if(~_q(MATCH_FLAG)).alias("unmatched"),
-                    F.count_if(_q(MATCH_FLAG) & ~_q(VALID_FLAG)).alias("bad_time")).first()
-    report["n_rows_after_dedupe"] = counts.n
-    report["duplicates"] = report["n_rows_after_dropna"] - counts.n
-    report["rows_without_lookup"] = counts.unmatched
-    report["invalid_time_rows"] = counts.bad_time
-    n_valid = prof_c[0].n_rows if prof_c else 0
-    all_null = [r.column_name for r in prof_c if n_valid and r.n_null == n_valid
-                and r.column_name != cfg.target]
+    report["n_rows_after_dedupe"] = r.n
+    report["duplicates"] = report["n_rows_after_dropna"] - r.n
+    report["rows_without_lookup"] = r.unmatched
+    report["invalid_time_rows"] = r.bad_time
+    nulls = {c: r[f"z__{i}"] for i, c in enumerate(data_cols)}
+    all_null = [c for c, z in nulls.items() if r.n_keep and z == r.n_keep and c != cfg.target]
     report["cast_all_null_dropped"] = all_null
-    report["cast_null_columns"] = {r.column_name: r.n_null for r in prof_c if r.n_null}
+    report["cast_null_columns"] = {c: z for c, z in nulls.items() if z}
     clean = drop_null_rows(df.filter(keep).drop(VALID_FLAG, MATCH_FLAG, *all_null))
     return clean
 
