@@ -226,13 +226,24 @@ def q_category_counts(spark, d):
 
 
 def q_row_counts(spark, d):
-    clean = _clean(spark, d)
-    no_nulls = drop_null_rows(drop_sparse_columns(clean))
-    deduped = no_nulls.dropDuplicates()
-    timed = filter_valid_times(cast_columns(deduped, TIMES, "int"), TIMES)
-    return (row_count(clean, "raw").union(row_count(no_nulls, "after_dropna"))
-            .union(row_count(deduped, "after_dedupe"))
-            .union(row_count(timed, "after_valid_time")))
+    """Rows per stage in two passes: (raw, complete rows) in one aggregate,
+    then (de-duplicated, valid clock) in one aggregate over one dedupe."""
+    from contrail.functions.casts import tolerant_int
+    from contrail.functions.clock import valid_clock
+    clean = drop_sparse_columns(_clean(spark, d))
+    complete = F.lit(True)
+    for c in clean.columns:
+        complete = complete & F.col(c).isNotNull()
+    first = clean.agg(F.count(F.lit(1)).alias("raw"), F.count_if(complete).alias("after_dropna"))
+    valid = F.lit(True)
+    for t in TIMES:
+        valid = valid & F.coalesce(valid_clock(tolerant_int(F.col(t))), F.lit(False))
+    second = (drop_null_rows(clean).dropDuplicates()
+              .agg(F.count(F.lit(1)).alias("after_dedupe"),
+                   F.count_if(valid).alias("after_valid_time")))
+    unpivot = lambda df: df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("stage"), F.col(c).alias("n_rows")) for c in df.columns])))
+    return unpivot(first).union(unpivot(second))
 
 
 # ---------------------------------------------------------------- lookups
