@@ -47,7 +47,6 @@ from contrail.operators.profile import (
     distinct_profile,
     duplicate_count,
     null_profile,
-    row_count,
     zero_count,
 )
 from contrail.operators.split import fold_column, hash_bucket, random_split, split_label
