@@ -62,8 +62,10 @@ def _lap(report: dict, stage: str) -> None:
     report["_t"] = now
 
 
-def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFrame, list[str]]:
-    """Passes A and B; returns the de-duplicated text frame and the categoricals."""
+def _prepare(raw: DataFrame, cfg: PipelineConfig,
+             report: dict) -> tuple[DataFrame, list[str], DataFrame]:
+    """Passes A and B; returns the de-duplicated text frame, the categoricals
+    and the frame before de-duplication (for reports that do not need it)."""
     if cfg.target not in raw.columns:
         raise ValueError(f"target column {cfg.target!r} not in input")
     df = replace_null_tokens(raw, cfg.null_token)
@@ -111,8 +113,9 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict) -> tuple[DataFra
     if cfg.dedupe_partitions:
         # hash-partition on the full row: dropDuplicates reuses this
         # partitioning (one shuffle), with an explicit size for the data
-        df = df.repartition(cfg.dedupe_partitions, *[_q(c) for c in df.columns])
-    return df.dropDuplicates(), cats
+        return df.repartition(cfg.dedupe_partitions, *[_q(c) for c in df.columns]) \
+            .dropDuplicates(), cats, df
+    return df.dropDuplicates(), cats, df
 
 
 def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
@@ -262,7 +265,7 @@ def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
 def run_categorical(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> PipelineResult:
     """Places stay categories: every detected categorical is one-hot encoded."""
     report: dict = {"pipeline": "categorical", "_t": time.perf_counter()}
-    deduped, cats = _prepare(raw, cfg, report)
+    deduped, cats, _ = _prepare(raw, cfg, report)
     clean = _finish(deduped, cats, cfg, report)
     return _model_stage(clean, cats, cfg, report)
 
@@ -274,14 +277,16 @@ def run_numeric(raw: DataFrame, dim: DataFrame,
     if cfg.categorical is None:
         cfg = cfg.with_(categorical=("UniqueCarrier",))
     report: dict = {"pipeline": "numeric", "_t": time.perf_counter()}
-    deduped, cats = _prepare(raw, cfg, report)
+    deduped, cats, before_dedupe = _prepare(raw, cfg, report)
     roles = {c: p for c, p in cfg.roles.items() if c in deduped.columns}
     cast = tolerant_double if cfg.coordinate_kind == "double" else tolerant_int
     types = dict(dim.dtypes)
     slim_dim = dim.select(cfg.dim_key, *[
         (cast(F.col(a)) if types[a] == "string" else F.col(a).cast(cfg.coordinate_kind)).alias(a)
         for a in cfg.dim_attrs])
-    missing = missing_keys(deduped, slim_dim, cfg.dim_key, list(roles))
+    # the set of key values does not change with de-duplication: read the
+    # (columnar, landed) rows before it, so the dedupe shuffle runs only once
+    missing = missing_keys(before_dedupe, slim_dim, cfg.dim_key, list(roles))
     report["missing_keys"] = missing            # lazy; may be large
     report["n_missing_keys"] = missing.count()
     _lap(report, "missing_keys")

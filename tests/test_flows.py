@@ -48,7 +48,7 @@ def test_dedupe_partitions_single_shuffle(spark, flights_csv):
     from contrail.plans.flows import _prepare
     raw = scan_csv(spark, flights_csv)
     report = {}
-    deduped, _ = _prepare(raw, PipelineConfig(dedupe_partitions=6, materialize=False), report)
+    deduped, _, _ = _prepare(raw, PipelineConfig(dedupe_partitions=6, materialize=False), report)
     plan = deduped._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert deduped.count() == 400
