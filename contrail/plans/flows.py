@@ -174,6 +174,10 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
     all_null = [c for c, z in nulls.items() if r.n_keep and z == r.n_keep and c != cfg.target]
     report["cast_all_null_dropped"] = all_null
     report["cast_null_columns"] = {c: z for c, z in nulls.items() if z}
+    if not r.n_keep:
+        raise ValueError("no rows left after cleaning (input rows: "
+                         f"{report.get('n_rows')}, after NULL-row drop: "
+                         f"{report.get('n_rows_after_dropna')}, after dedupe: {r.n})")
     clean = drop_null_rows(df.filter(keep).drop(VALID_FLAG, MATCH_FLAG, *all_null))
     return clean
 

@@ -59,3 +59,16 @@ def test_staged_paths_reported(spark, flights_csv):
     res = run_categorical(raw, PipelineConfig(split_key=("Month", "DepTime", "Distance")))
     paths = res.report["staged_paths"]
     assert len(paths) == 2 and all("contrail-" in p for p in paths)
+
+
+def test_empty_file_profiles_and_clear_flow_error(spark, tmp_path):
+    import pytest
+
+    from contrail.operators.profile import null_profile
+    from tests.conftest import FLIGHT_HEADER, write_csv
+    path = write_csv(str(tmp_path / "empty.csv"), FLIGHT_HEADER, [])
+    raw = scan_csv(spark, path, columns=FLIGHT_HEADER)
+    prof = null_profile(raw).collect()
+    assert all(r.n_rows == 0 and r.pct_null is None for r in prof)
+    with pytest.raises(ValueError, match="no rows left"):
+        run_categorical(raw, PipelineConfig())
