@@ -7,8 +7,6 @@ materialisation points.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,40 +30,35 @@ def build_session(master: str = "local[*]", app: str = "contrail",
         .config("spark.driver.memory", "16g")
     )
     for key, value in extra.items():
-        builder = builder.config(key, value)
+        builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared filesystem / object store path);
-    only a local-mode session without it gets a private temp folder.
+    Nothing is set here: a machine-local default would be unreadable to the
+    other executors, and the setting is fixed once the application runs. A
+    folder given to ``SparkContext.setCheckpointDir`` is honoured as well.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        sc = None
-    if not root and sc is not None:
-        root = sc.getConf().get(CHECKPOINT_CONF, None)
     if not root:
-        if sc is None or not sc.master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set; a cluster run needs a shared folder")
-        root = tempfile.mkdtemp(prefix="contrail-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
-    return root
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            root = None
+    if not root:
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} is not set: name a folder that the driver and all "
+            "executors share when the session is built")
+    return root.rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique sub-folder of the shared staging root."""
-    root = staging_root(spark)
-    return os.path.join(root, f"contrail-{label}-{uuid.uuid4().hex[:12]}")
+    return f"{staging_root(spark)}/contrail-{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -76,11 +69,20 @@ def materialize_at(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]
     """Write ``df`` as Parquet in the shared staging folder and read it back.
 
     This cuts the lineage at reuse points (a lost executor re-reads files
-    instead of re-running the upstream shuffle), keeps the data columnar
-    for later column pruning / filter pushdown, and gives exact row counts
-    from file metadata.
+    instead of re-running the upstream shuffle) and keeps the data columnar
+    for later column pruning / filter pushdown. The caller owns the returned
+    path and removes it with ``remove_staged`` once nothing reads it.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), path
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_staged(spark: SparkSession, *paths: str) -> None:
+    """Delete staged folders through Spark's own file-system layer (any store)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
