@@ -19,6 +19,7 @@ result; extra columns are ignored. Whole texts are read, in chunks.
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from contrail.llm.components import connected_components
 from contrail.session import materialize
 
 CHUNK = 65_536
+VARIANTS_IN_TASK = 2_000_000
 
 
 def fingerprint(raw: bytes | None, words_in_shingle: int, seed: int) -> int:
@@ -76,7 +78,9 @@ def ball_links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     them that everything within ``max_bits`` (an even number) is connected."""
     if max_bits % 2 or not 0 <= max_bits <= 4:
         raise ValueError("max_bits must be 0, 2 or 4: a bucket's members are then all linked")
-    buckets = (prints.select("fp", F.explode(ball(F.col("fp"), max_bits // 2)).alias("variant"))
+    size = sum(math.comb(64, r) for r in range(max_bits // 2 + 1))
+    parts = max(1, -(-prints.count() * size // VARIANTS_IN_TASK))
+    buckets = (prints.repartition(parts, "fp").select("fp", F.explode(ball(F.col("fp"), max_bits // 2)).alias("variant"))
                .groupBy("variant").agg(F.collect_list("fp").alias("fps"))
                .filter(F.size("fps") > 1))
     links = buckets.select(F.array_min("fps").alias("v"), F.explode("fps").alias("u"))

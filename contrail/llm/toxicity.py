@@ -38,7 +38,7 @@ from contrail.llm.common import by_value, cells, hash_below, held_out, learnable
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BEGINNINGS = (4, 5, 6, 7)  # bytes
 THRESHOLD = 0.3
-MAX_TRAIN_ROWS = 8_000
+MAX_TRAIN_ROWS = 6_000
 CACHE = 500_000
 
 
@@ -145,11 +145,17 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
     if not 0 < prior < 1:
         return Machine(bits, 700.0 if prior else -700.0, {}, *none)
     bias = float(np.log(prior / (1 - prior)))
-    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-    terms, at = np.unique(np.concatenate([np.asarray(r, dtype=np.int32) for r in rows]),
-                          return_inverse=True)
-    at = at.astype(np.int32)
+    entries = np.concatenate([np.asarray(r, dtype=np.int32) for r in rows])
+    terms, n = np.unique(entries, return_counts=True)
+    terms = terms[n >= min_documents]
+    if not len(terms):
+        return Machine(bits, bias, {}, *none)
+    at = np.searchsorted(terms, entries).astype(np.int32)
+    at[at == len(terms)] = 0
+    use = terms[at] == entries
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), list(map(len, rows)))[use]
+    at = at[use]
+    del entries, use
 
     def unlike_chance(expected, among) -> object:
         """The signed root of the deviance of each term's toxic texts from ``expected``,
