@@ -9,8 +9,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: SHA-256 and CRC32 folds, the salts of hot join keys.
 SALTS = 16
+#: A side of at most so many counted rows, of a few numbers or words each, is broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def by_value(module: str) -> None:
@@ -60,12 +61,27 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: li
 
     ``small`` must be unique on ``keys``. Each of its rows is repeated once a
     salt, ``big``'s rows take the salt of a hash of ``spread_by``, so that a
-    hot key is dealt to ``salts`` tasks. Inner and left joins only.
+    hot key is dealt to ``salts`` tasks. Inner and left joins only. The merge hint
+    keeps Spark from broadcasting ``small`` by an estimate that ignores the salts.
     """
     salt = "__salt"
     left = big.withColumn(salt, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, salt], how).drop(salt)
+    return left.join(right.hint("merge"), [*keys, salt], how).drop(salt)
+
+
+def checked(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows are within ``BROADCAST_ROWS``. ``df``
+    comes from a staged table, so the count reads narrow files."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+
+
+def checked_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str],
+                 how: str = "inner") -> DataFrame:
+    """As ``salted_join``, by broadcast while ``small``, of a staged table, is within the bound."""
+    if small.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), keys, how)
+    return salted_join(big, small, keys, spread_by, how)
 
 
 def cells(column) -> Iterator[bytes | None]:

@@ -11,8 +11,8 @@ the exact phrase matches. Proximity matches take the two rarest terms at up to
 ``slop`` words from where the phrase has them.
 
 All of it is DataFrame and SQL functions. Only the benchmark's terms are
-broadcast, and only while their number is within ``BROADCAST_ROWS``; beyond it
-Spark joins by shuffles.
+broadcast, and only while their number is within ``common.BROADCAST_ROWS``; beyond
+it Spark joins by shuffles.
 
 Defined results: words are runs of ASCII letters and digits and of non-ASCII
 characters, A-Z lower-cased; a NULL or empty text has no words and no hits; an
@@ -26,12 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import text_hash
+from contrail.llm.common import checked, text_hash
 from contrail.session import materialize
 
 WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_ROWS = 200_000
 MARK = 0  # the term number of a text's first posting, which stands for the text itself
 
 
@@ -45,12 +44,6 @@ def lower_ascii(word: Column) -> Column:
     return F.when(ascii_only, F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows (of a few numbers or words each)
-    are within the bound. ``df`` is a staged table, so the count reads file footers."""
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
-
-
 def benchmark_terms(items: DataFrame, id_col: str = "item_id",
                     text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(vocabulary: word, term), (terms: item, item_id, place, size, term), staged."""
@@ -78,7 +71,7 @@ def postings(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
         "row", "doc_id", "text_key", F.size("words").alias("n_words"),
         F.posexplode(F.concat(F.array(F.lit("")), F.col("words"))).alias("pos", "word")
     ).withColumn("word", lower_ascii(F.col("word")))
-    return materialize(places.join(small(vocabulary), "word").drop("word"), "postings")
+    return materialize(places.join(checked(vocabulary), "word").drop("word"), "postings")
 
 
 def anchors(index: DataFrame, terms: DataFrame, window: int = 10) -> DataFrame:
@@ -107,8 +100,8 @@ def _near(index: DataFrame, anchor: DataFrame, slop: int) -> DataFrame:
     """Rows whose list of the rarest term meets that of the second rarest, off by up to ``slop``."""
     n = anchor.count()
     ones = index.select("row", "pos", F.col("term").alias("term1")).join(
-        small(anchor, n), "term1").withColumn("diagonal", F.col("pos") - F.col("place1"))
-    second = index.join(small(anchor.filter("term2 is not null").select(
+        checked(anchor, n), "term1").withColumn("diagonal", F.col("pos") - F.col("place1"))
+    second = index.join(checked(anchor.filter("term2 is not null").select(
         F.col("term2").alias("term")).distinct(), n), "term", "left_semi").select(
         "row", F.col("term").alias("term2"), F.col("pos").alias("pos2"))
     shifts = F.sequence(F.lit(-slop), F.lit(slop)) if slop else F.array(F.lit(0))
@@ -127,8 +120,8 @@ def phrase_matches(index: DataFrame, terms: DataFrame, window: int = 10) -> Data
         "row", "item", "item_id", "w", "diagonal", F.explode(F.sequence(
             F.col("first"), F.col("last") + F.col("w") - 1)).alias("place")).distinct(), "sought")
     rows = materialize(where.select("row").distinct(), "rows")
-    within = index.join(small(rows), "row", "left_semi").select("row", "term", "pos")
-    wanted = where.join(small(terms.select("item", "place", "term")), ["item", "place"]).withColumn(
+    within = index.join(checked(rows), "row", "left_semi").select("row", "term", "pos")
+    wanted = where.join(checked(terms.select("item", "place", "term")), ["item", "place"]).withColumn(
         "pos", F.col("diagonal") + F.col("place"))
     met = wanted.join(within, ["row", "term", "pos"])
     line = ["row", "item", "item_id", "w", "diagonal"]
@@ -177,5 +170,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10,
     """``docs`` without the rows that hold a window of an item; columns as they were."""
     bad = materialize(contamination(docs, items, window, id_col, text_col).filter("n_hit > 0")
                       .select(F.col(id_col).alias("__id"), "text_key").distinct(), "contaminated")
-    return docs.join(small(bad), docs[id_col].eqNullSafe(bad["__id"])
+    return docs.join(checked(bad), docs[id_col].eqNullSafe(bad["__id"])
                      & (text_hash(docs[text_col]) == bad["text_key"]), "left_anti")

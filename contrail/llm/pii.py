@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import digest_of_spans, salted_join
+from contrail.llm.common import checked_join, digest_of_spans
 from contrail.session import materialize
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -124,7 +124,7 @@ def score_graph(edges: DataFrame, rounds: int = 2, min_seeds: int = 3) -> tuple[
         for k in range(n))), "instances")
     pairs = graph.select("p", "i")
     for _ in range(rounds):
-        met = salted_join(pairs, scores, ["i"], ["p"])
+        met = checked_join(pairs, scores, ["i"], ["p"])
         patterns = materialize(met.groupBy("p").agg(
             F.count("*").alias("n"), *(F.count_if(F.col("seed") == k).alias(f"n{k}")
                                        for k in range(n)),
@@ -132,7 +132,7 @@ def score_graph(edges: DataFrame, rounds: int = 2, min_seeds: int = 3) -> tuple[
             "p", *(F.when(F.col(f"n{k}") >= min_seeds, F.col(f"s{k}") / (F.col("n") + 1))
                    .otherwise(0.0).alias(f"c{k}") for k in range(n))), "patterns")
         useful = reduce(lambda a, b: a | b, (F.col(f"c{k}") > 0 for k in range(n)))
-        met = salted_join(pairs, patterns.filter(useful), ["p"], ["i"])
+        met = checked_join(pairs, patterns.filter(useful), ["p"], ["i"])
         reached = met.groupBy("i").agg(*(
             (1 - F.exp(F.sum(F.log(1 - F.least(F.col(f"c{k}"), F.lit(0.999)))))).alias(f"r{k}")
             for k in range(n)))
@@ -156,8 +156,8 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         key, reduce(lambda w, k: w.when(F.col(f"c{k}") == best, k),
                     range(1, len(BASE_KINDS)), F.when(F.col("c0") == best, 0)).alias(out))
     free = edges.filter("seed is null").select("row", "p", "i", "start", "end")
-    free = salted_join(free, sure(patterns, "p", "kind"), ["p"], ["row"])
-    free = salted_join(free, sure(scores, "i", "kind_i"), ["i"], ["row"])
+    free = checked_join(free, sure(patterns, "p", "kind"), ["p"], ["row"])
+    free = checked_join(free, sure(scores, "i", "kind_i"), ["i"], ["row"])
     names = F.array(*(F.lit(k) for k in KINDS))
     no = F.col("kind") + len(BASE_KINDS)
     found = (free.filter("kind = kind_i").groupBy("row").agg(F.collect_set(F.struct(

@@ -30,8 +30,8 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import by_value, salted_join
-from contrail.session import staging_path
+from contrail.llm.common import by_value, checked_join
+from contrail.session import materialize, staging_path
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
@@ -63,9 +63,9 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                      F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     p = p.withColumn("size", F.octet_length("payload")).withColumn("sha", F.sha2("payload", 256))
     # Ids and hashes alone are grouped, and only payloads that occur again are joined back.
-    again = (p.filter(F.col("size") >= min_revisit_bytes).groupBy("sha")
-             .agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    p = salted_join(p, again, ["sha"], ["id"], "left")
+    again = materialize(p.filter(F.col("size") >= min_revisit_bytes).groupBy("sha").agg(
+        F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "again")
+    p = checked_join(p, again, ["sha"], ["id"], "left")
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     urn = lambda c: F.concat(F.lit("<urn:page:"), text(c), F.lit(">"))
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
