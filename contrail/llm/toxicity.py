@@ -143,7 +143,7 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
     prior = float(y.mean()) if len(y) else 0.0
     none = np.zeros(0), np.zeros((0, k))
     if not 0 < prior < 1:
-        return Machine(bits, 700.0 if prior else -700.0, {}, *none)
+        return Machine(bits, float("inf") if prior else float("-inf"), {}, *none)
     bias = float(np.log(prior / (1 - prior)))
     entries = np.concatenate([np.asarray(r, dtype=np.int32) for r in rows])
     terms, n = np.unique(entries, return_counts=True)
@@ -238,8 +238,8 @@ def score_udf(spark: SparkSession, machine: Machine):
             got = sorted(met)
             z.append(logit(model.bias, model.weights[got], model.factors[got]) if got
                      else model.bias)
-        return pa.array(1 / (1 + np.exp(-np.clip(np.asarray(z, dtype=float), -700, 700))),
-                        type=pa.float64())
+        with np.errstate(over="ignore"):
+            return pa.array(1 / (1 + np.exp(-np.asarray(z, dtype=float))), type=pa.float64())
 
     return arrow_udf(batch, "double")
 
