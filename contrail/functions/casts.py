@@ -17,6 +17,8 @@ from contrail.functions.util import as_column
 
 _INT_LOW = -2147483649.0   # trunc(x) fits in INT  <=>  LOW < x < HIGH
 _INT_HIGH = 2147483648.0
+# Doubles also read "5D", "1e3" and "0x1p3"; an int cast takes plain decimals only.
+_PLAIN = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$"
 
 
 def tolerant_double(c: Column | str) -> Column:
@@ -27,4 +29,5 @@ def tolerant_double(c: Column | str) -> Column:
 def tolerant_int(c: Column | str) -> Column:
     """Text -> INT: truncates decimals, NULL when malformed or out of range."""
     d = tolerant_double(c)
-    return F.when((d > F.lit(_INT_LOW)) & (d < F.lit(_INT_HIGH)), d.cast("int"))
+    plain = as_column(c).cast("string").rlike(_PLAIN)
+    return F.when(plain & (d > F.lit(_INT_LOW)) & (d < F.lit(_INT_HIGH)), d.cast("int"))

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.operators.sizing import DEFAULT_BROADCAST_ROWS, has_at_most
+from contrail.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
 
 
 SALT = "_salt"
@@ -29,7 +29,7 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
 def role_join(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str],
               attrs: Mapping[str, str], *, how: str = "inner", keep_role_columns: bool = False,
               unique_keys: str = "ignore",
-              broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+              broadcast_max_bytes: int = DEFAULT_BROADCAST_BYTES,
               salt_buckets: int = 1) -> DataFrame:
     """Join ``dim`` once per role.
 
@@ -57,7 +57,7 @@ def role_join(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str],
         if dups:
             raise ValueError(f"dimension key {key!r} is not unique: "
                              + ", ".join(f"{r[key]!r} x{r['n']}" for r in dups))
-    small = has_at_most(slim, broadcast_max_rows)
+    small = fits_broadcast(slim, broadcast_max_bytes)
     salted = salt_buckets > 1 and not small
     out = df
     if salted:
@@ -82,7 +82,7 @@ def role_join(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str],
 
 
 def missing_keys(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str],
-                 broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Distinct non-null values of ``columns`` (together) that ``dim`` lacks.
 
     One scan of the facts: the role columns are exploded into one key
@@ -93,8 +93,8 @@ def missing_keys(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]
             .filter(F.col(key).isNotNull())
             .distinct())
     dim_keys = dim.select(key)
-    # bound checked on the raw rows (no shuffle); distinct keys are no more
-    small = has_at_most(dim_keys, broadcast_max_rows)
+    # bound checked on the raw rows (no job); distinct keys are no more
+    small = fits_broadcast(dim_keys, broadcast_max_bytes)
     dim_keys = dim_keys.distinct()
     if small:
         dim_keys = F.broadcast(dim_keys)

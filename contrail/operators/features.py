@@ -3,7 +3,7 @@
 Indexing and one-hot use the built-in multi-column ML stages: one fitting
 pass for all categorical columns (the reference fitted one column per job).
 Fitted label lists live on the driver as model state, so their size is
-checked up front with a HyperLogLog pass (``max_categories``).
+checked up front with a HyperLogLog pass where ``max_categories`` is given.
 Min-max scaling is one ``agg(min, max)`` over all columns and a projection.
 """
 
@@ -27,7 +27,7 @@ INDEX_SUFFIX = "_Index"
 ONEHOT_SUFFIX = "_OneHot"
 FULL_SUFFIX = "_OneHotFull"
 SCALED_SUFFIX = "_Scaled"
-DEFAULT_MAX_CATEGORIES = 100_000
+DEFAULT_MAX_CATEGORIES = None  # no bound, as StringIndexer has none
 
 
 def check_cardinality(df: DataFrame, columns: Sequence[str],
@@ -60,7 +60,7 @@ def index_labels(model) -> dict[str, list[str]]:
 
 
 def labels_frame(spark, labels: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``(column_name, value, idx)`` from fitted labels (bounded by max_categories)."""
+    """``(column_name, value, idx)`` from fitted labels."""
     rows = [(c, v, float(i)) for c, vals in labels.items() for i, v in enumerate(vals)]
     return spark.createDataFrame(rows, "column_name string, value string, idx double")
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.functions.casts import tolerant_int
+
 from contrail.functions.text import has_letter
 
 STATS = ("n_null", "pct_null", "n_distinct", "approx_distinct", "is_constant", "has_letters")
@@ -123,13 +125,13 @@ def detect_categorical(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 
 def zero_count(df: DataFrame, target: str) -> DataFrame:
-    """Rows whose target is numerically zero ("0", "00", "0.0"), with the total.
+    """Rows whose target is zero as an int ("0", "00", "0.0", "0.4"), with the total.
 
     Non-numeric text never counts (the raw string-vs-int comparison raises
     under ANSI, so the text goes through a tolerant cast first).
     """
     t = F.col(target)
-    num = t.try_cast("double") if isinstance(df.schema[target].dataType, T.StringType) else t
+    num = tolerant_int(t) if isinstance(df.schema[target].dataType, T.StringType) else t
     return df.agg(F.count_if(num == 0).alias("n_zero"), F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -151,7 +153,3 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return profile_columns(df, ("n_distinct",), columns=columns).select(
         "column_name", "position", F.col("n_distinct").alias("n_categories"))
 
-
-def row_count(df: DataFrame, stage: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(stage).alias("stage"), "n_rows")

@@ -1,9 +1,9 @@
 """Size checks that gate broadcast hints, and scan-parallelism repair.
 
-A broadcast is only hinted for a side whose row count is *proven* below a
-bound; the check reads at most ``max_rows + 1`` rows. Above the bound no
-hint is given and Spark plans a shuffle join (AQE may still demote it to a
-broadcast from runtime statistics, and splits skewed partitions).
+A broadcast is hinted only for a side whose size in bytes, by the statistics of
+its optimized plan (file sizes for a scan; no job), is within a bound. Above it
+no hint is given and Spark plans a shuffle join; AQE may still broadcast by
+measured sizes, and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -11,39 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 32 << 20
 
-_checked: dict[tuple, bool] = {}
 
-
-def has_at_most(df: DataFrame, max_rows: int, cache_key: str | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
-
-    ``cache_key`` memoises the answer for the session (for immutable inputs
-    such as a table path), so repeated plans over the same table don't
-    re-run the check.
-    """
-    key = None
-    if cache_key is not None:
-        key = (_session_id(df), cache_key, max_rows)
-        if key in _checked:
-            return _checked[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _checked[key] = ok
-    return ok
-
-
-def _session_id(df: DataFrame) -> str:
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when the plan's own estimate of ``df`` is within ``max_bytes``."""
     try:
-        return df.sparkSession.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        return str(id(df.sparkSession))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:  # no JVM plan (Spark Connect): leave the choice to Spark
+        return False
+    return int(str(size)) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       cache_key: str | None = None) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows, cache_key) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ shuffle, sort or cache. ``random_split`` is Spark's Bernoulli
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,13 +17,16 @@ from pyspark.sql import functions as F
 
 DEFAULT_SEED = 123
 BUCKETS = 10_000
+HASHES = 16 ** 7  # values of the 7 hex digits
+NULL_KEY = "\x00NULL"
 
 
 def _key(cols: Sequence[str]) -> Column:
     cols = list(cols)
     if len(cols) == 1:
-        return F.col(f"`{cols[0]}`").cast("string")
-    return F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in cols])
+        return F.coalesce(F.col(f"`{cols[0]}`").cast("string"), F.lit(NULL_KEY))
+    return F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_KEY))
+                              for c in cols])
 
 
 def hash_bucket(key_cols: Sequence[str], seed: int = DEFAULT_SEED,
@@ -33,14 +37,14 @@ def hash_bucket(key_cols: Sequence[str], seed: int = DEFAULT_SEED,
 
 
 def split_label(key_cols: Sequence[str], weights: Sequence[float] = (0.8, 0.2),
-                seed: int = DEFAULT_SEED, buckets: int = BUCKETS) -> Column:
-    """Index of the side (0, 1, ...) for each row, by cumulative weight."""
+                seed: int = DEFAULT_SEED) -> Column:
+    """Index of the side (0, 1, ...) for each row, by cumulative weight of the whole hash."""
     total = float(sum(weights))
-    bucket = hash_bucket(key_cols, seed, buckets)
+    bucket = hash_bucket(key_cols, seed, HASHES)
     cuts, acc = [], 0.0
     for w in weights[:-1]:
         acc += w
-        cuts.append(int(round(acc / total * buckets)))
+        cuts.append(math.ceil(acc / total * HASHES))
     expr = F.lit(len(weights) - 1)
     for i in reversed(range(len(cuts))):
         expr = F.when(bucket < cuts[i], F.lit(i)).otherwise(expr)

@@ -44,10 +44,10 @@ class PipelineConfig:
     seed: int = SPLIT_SEED
     fit_on: str = "train"                      # "all" reproduces the reference's leakage
     trend_by: tuple[str, ...] = FLIGHT_TREND_BY
-    models: tuple[str, ...] = ("linear",)      # add "forest" for the random forest
+    models: tuple[str, ...] = ("linear", "forest")
     forest_trees: int = FOREST_TREES
     prediction: str = FLIGHT_PREDICTION
-    max_categories: int | None = 100_000
+    max_categories: int | None = None         # optional bound on indexed labels
     # numeric pipeline only
     roles: dict = field(default_factory=lambda: dict(PLACE_ROLES))
     dim_key: str = AIRPORT_KEY
@@ -55,7 +55,7 @@ class PipelineConfig:
     coordinate_kind: str = "double"            # "int" reproduces the reference's truncation
     unique_dim_keys: str = "ignore"
     join_salt_buckets: int = 1                 # >1 salts hot keys when the dimension is not broadcast
-    dedupe_partitions: int | None = None       # size of the one full shuffle; None -> session/AQE
+    on_cast_loss: str = "raise"                # rows lost to cast NULLs: "raise" or "drop"
     materialize: bool = True
 
     def with_(self, **kw) -> "PipelineConfig":
@@ -65,8 +65,9 @@ class PipelineConfig:
     def parity(cls, **kw) -> "PipelineConfig":
         """The reference's choices where ours differ: encoders and scaler fitted
         on all rows before the split, coordinates truncated to int,
-        Bernoulli ``randomSplit``."""
-        base = dict(fit_on="all", coordinate_kind="int", split_key=None)
+        Bernoulli ``randomSplit``, the fixed encoded columns."""
+        base = dict(fit_on="all", coordinate_kind="int", split_key=None,
+                    categorical=FLIGHT_ENCODED)
         base.update(kw)
         return cls(**base)
 

@@ -15,9 +15,10 @@ full-data shuffle is the de-duplication):
 from __future__ import annotations
 
 import time
+from functools import reduce
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from contrail.functions.casts import tolerant_double, tolerant_int
@@ -62,8 +63,8 @@ def _lap(report: dict, stage: str) -> None:
     report["_t"] = now
 
 
-def _prepare(raw: DataFrame, cfg: PipelineConfig,
-             report: dict) -> tuple[DataFrame, list[str], DataFrame]:
+def _prepare(raw: DataFrame, cfg: PipelineConfig, report: dict,
+             keep_text: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], DataFrame]:
     """Passes A and B; returns the de-duplicated text frame, the categoricals
     and the frame before de-duplication (for reports that do not need it)."""
     if cfg.target not in raw.columns:
@@ -79,7 +80,7 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig,
 
     # pass A: NULL profile + zero count of the target
     t = _q(cfg.target)
-    num = t.try_cast("double") if dict(df.dtypes)[cfg.target] == "string" else t
+    num = tolerant_int(t) if dict(df.dtypes)[cfg.target] == "string" else t
     _lap(report, "land")
     prof_a = profile_columns(df, ("n_null", "pct_null"),
                              extra={"n_zero": F.count_if(num == 0)}).collect()
@@ -102,19 +103,18 @@ def _prepare(raw: DataFrame, cfg: PipelineConfig,
     constants = [r.column_name for r in prof_b if r.is_constant and r.column_name not in protected]
     report["constant_dropped"] = constants
     df = df.drop(*constants)
+    letters = [r.column_name for r in sorted(prof_b, key=lambda r: r.position)
+               if r.has_letters and r.column_name not in constants
+               and r.column_name not in protected]
     if cfg.categorical is None:
-        cats = [r.column_name for r in sorted(prof_b, key=lambda r: r.position)
-                if r.has_letters and r.column_name not in constants
-                and r.column_name not in protected
-                and r.column_name not in cfg.exclude_categorical]
+        cats = [c for c in letters if c not in cfg.exclude_categorical]
     else:
         cats = [c for c in cfg.categorical if c in df.columns]
     report["categorical"] = cats
-    if cfg.dedupe_partitions:
-        # hash-partition on the full row: dropDuplicates reuses this
-        # partitioning (one shuffle), with an explicit size for the data
-        return df.repartition(cfg.dedupe_partitions, *[_q(c) for c in df.columns]) \
-            .dropDuplicates(), cats, df
+    # a text column that is not encoded goes whole: its cast would cost rows
+    unencoded = [c for c in letters if c not in cats and c not in keep_text]
+    report["unencoded_dropped"] = unencoded
+    df = df.drop(*unencoded)
     return df.dropDuplicates(), cats, df
 
 
@@ -148,17 +148,17 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
     _lap(report, "dedupe_cast_materialize")
 
     # pass C (one aggregate): rows after dedupe, unmatched rows, bad clock
-    # rows, NULLs the cast created among the kept rows, and the approximate
-    # cardinality of each categorical (the fitted label lists go to the
-    # driver, so they must be bounded)
+    # rows and NULLs the cast created among the kept rows; with a bound on
+    # categories, also the approximate cardinality of each categorical
     keep = _q(VALID_FLAG) & _q(MATCH_FLAG)
     data_cols = [c for c in df.columns if c not in (VALID_FLAG, MATCH_FLAG, SPLIT_COL)]
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(keep).alias("n_keep"),
             F.count_if(~_q(MATCH_FLAG)).alias("unmatched"),
             F.count_if(_q(MATCH_FLAG) & ~_q(VALID_FLAG)).alias("bad_time")]
     aggs += [F.count_if(keep & _q(c).isNull()).alias(f"z__{i}") for i, c in enumerate(data_cols)]
-    aggs += [F.approx_count_distinct(F.when(keep, _q(c))).alias(f"k__{i}")
-             for i, c in enumerate(cats)]
+    if cfg.max_categories is not None:
+        aggs += [F.approx_count_distinct(F.when(keep, _q(c))).alias(f"k__{i}")
+                 for i, c in enumerate(cats)]
     r = df.agg(*aggs).first()
     _lap(report, "profile_c")
     if cfg.max_categories is not None:
@@ -178,8 +178,16 @@ def _finish(df: DataFrame, cats: list[str], cfg: PipelineConfig, report: dict,
         raise ValueError("no rows left after cleaning (input rows: "
                          f"{report.get('n_rows')}, after NULL-row drop: "
                          f"{report.get('n_rows_after_dropna')}, after dedupe: {r.n})")
-    clean = drop_null_rows(df.filter(keep).drop(VALID_FLAG, MATCH_FLAG, *all_null))
-    return clean
+    some_null = [c for c, z in nulls.items() if z and c not in all_null]
+    lost = 0
+    if some_null:
+        lost = df.filter(keep & reduce(lambda a, b: a | b,
+                                       [_q(c).isNull() for c in some_null])).count()
+    report["rows_dropped_by_cast"] = lost
+    if lost and cfg.on_cast_loss == "raise":
+        raise ValueError(f"the numeric cast makes NULLs in {lost} of {r.n_keep} rows (columns "
+                         f"{some_null}); drop or clean these columns, or set on_cast_loss='drop'")
+    return drop_null_rows(df.filter(keep).drop(VALID_FLAG, MATCH_FLAG, *all_null))
 
 
 def _model_stage(clean: DataFrame, cats: list[str], cfg: PipelineConfig,
@@ -277,11 +285,13 @@ def run_categorical(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> P
 def run_numeric(raw: DataFrame, dim: DataFrame,
                 cfg: PipelineConfig = PipelineConfig(categorical=("UniqueCarrier",))) -> PipelineResult:
     """Places become coordinates through one lookup join per role; only the
-    fixed categorical list (the carrier) is one-hot encoded."""
-    if cfg.categorical is None:
-        cfg = cfg.with_(categorical=("UniqueCarrier",))
+    fixed categorical list (the carrier) is one-hot encoded, or, without a
+    list, the detected categoricals that are no places."""
     report: dict = {"pipeline": "numeric", "_t": time.perf_counter()}
-    deduped, cats, before_dedupe = _prepare(raw, cfg, report)
+    deduped, cats, before_dedupe = _prepare(raw, cfg, report, keep_text=tuple(cfg.roles))
+    # counted as the rows flow into the joins, which a repeated key multiplies
+    counted = Observation()
+    deduped = deduped.observe(counted, F.count(F.lit(1)).alias("n"))
     roles = {c: p for c, p in cfg.roles.items() if c in deduped.columns}
     cast = tolerant_double if cfg.coordinate_kind == "double" else tolerant_int
     types = dict(dim.dtypes)
@@ -305,4 +315,7 @@ def run_numeric(raw: DataFrame, dim: DataFrame,
     flags = tuple(f"{p}{FOUND}" for p in roles.values())
     cats = [c for c in cats if c not in roles]
     clean = _finish(joined, cats, cfg, report, typed=added, match_flags=flags)
+    report["n_rows_after_joins"] = report["n_rows_after_dedupe"]
+    report["n_rows_after_dedupe"] = counted.get["n"]
+    report["duplicates"] = report["n_rows_after_dropna"] - report["n_rows_after_dedupe"]
     return _model_stage(clean, cats, cfg, report)

@@ -36,7 +36,8 @@ JOIN nation ns ON s_nationkey = ns.n_nationkey
 
 def tol_int(x: str) -> str:
     d = f"try_cast({x} AS DOUBLE)"
-    return (f"CASE WHEN {d} > -2147483649 AND {d} < 2147483648 "
+    plain = f"regexp_full_match({x}, '\\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)\\s*')"
+    return (f"CASE WHEN {plain} AND {d} > -2147483649 AND {d} < 2147483648 "
             f"THEN CAST(trunc({d}) AS INTEGER) END")
 
 
@@ -66,9 +67,8 @@ CTES = {
     "no_constants": f"SELECT {_cols(NO_CONST_COLS)} FROM no_null_rows",
     "typed": "SELECT " + ", ".join(tol_int(c) + f" AS {c}" if c in NUMERIC else c
                                    for c in TRIPS_COLUMNS) + " FROM trips_clean",
-    "cut_nation": "SELECT * FROM nation WHERE n_regionkey <> 0",
     "split_typed": ("SELECT row_key, distance, mo, delay, "
-                    "('0x' || substr(md5('123|' || row_key), 1, 7))::BIGINT % 10000 < 8000 "
+                    "('0x' || substr(md5('123|' || row_key), 1, 7))::BIGINT < 0.8 * 268435456 "
                     "AS is_train FROM typed"),
     "lr_fit": ("SELECT *, avg_y - b1 * avg_x1 - b2 * avg_x2 AS b0 FROM ("
                "SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, "
@@ -181,8 +181,10 @@ def oracles() -> dict[str, str]:
         + ", ".join(f"{tol_int(e)} AS {n}" for n, e in (
             ("qty", "CAST(l_quantity AS VARCHAR)"), ("price", "CAST(l_extendedprice AS VARCHAR)"),
             ("discount", "CAST(l_discount AS VARCHAR)"),
-            ("big", "CAST(l_extendedprice * 100000 AS VARCHAR)"), ("flag", "l_returnflag"),
-            ("mixed", "l_returnflag || CAST(l_linenumber AS VARCHAR)")))
+            ("big", "CAST(CAST(l_extendedprice * 100000 AS DECIMAL(20,2)) AS VARCHAR)"), ("flag", "l_returnflag"),
+            ("mixed", "l_returnflag || CAST(l_linenumber AS VARCHAR)"),
+            ("suffixed", "(CAST(l_linenumber AS VARCHAR) || "
+                         "(['D', 'f', 'e3', '.', ''])[l_linenumber % 5 + 1])")))
         + " FROM lineitem")
     timed = ("SELECT row_key, " + ", ".join(f"{tol_int(t)} AS {t}" for t in TIMES)
              + " FROM trips_clean")
@@ -193,18 +195,15 @@ def oracles() -> dict[str, str]:
         f"SELECT row_key, {minutes('dep_hhmm')} AS dep_hhmm, {minutes('arr_hhmm')} AS arr_hhmm "
         f"FROM ({timed}) WHERE NOT (dep_hhmm > 2359) AND NOT (arr_hhmm > 2359)"))
     fact = _cols(NO_NULL_COLS, ("origin", "dest"))
-    q["role_join"] = with_(["no_null_rows", "cut_nation"], (
+    q["role_join"] = with_(["no_null_rows"], (
         f"SELECT {', '.join('t.' + c for c in fact.split(', '))}, "
         "o.n_nationkey AS origin_nationkey, o.n_regionkey AS origin_regionkey, "
         "d.n_nationkey AS dest_nationkey, d.n_regionkey AS dest_regionkey "
-        "FROM no_null_rows t JOIN cut_nation o ON t.origin = o.n_name "
-        "JOIN cut_nation d ON t.dest = d.n_name"))
-    missing = ("SELECT origin AS n_name FROM trips_clean WHERE origin IS NOT NULL UNION "
-               "SELECT dest FROM trips_clean WHERE dest IS NOT NULL "
-               "EXCEPT SELECT n_name FROM cut_nation")
-    q["missing_keys"] = with_(["trips_clean", "cut_nation"], missing)
-    q["missing_key_count"] = with_(["trips_clean", "cut_nation"],
-                                   f"SELECT count(*) AS n_missing FROM ({missing})")
+        "FROM no_null_rows t JOIN nation o ON t.origin = o.n_name "
+        "JOIN nation d ON t.dest = d.n_name"))
+    missing = "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels"
+    q["missing_keys"] = missing
+    q["missing_key_count"] = f"SELECT count(*) AS n_missing FROM ({missing})"
     q["trend"] = with_(["typed"], "SELECT yr, round(avg(delay), 6) AS avg, count(*) AS n_rows "
                                   "FROM typed GROUP BY yr")
     q["trend_fallback"] = with_(["typed"], "SELECT mo, round(avg(delay), 6) AS avg, "
@@ -238,7 +237,7 @@ def oracles() -> dict[str, str]:
         + f" FROM typed, (SELECT {bounds} FROM typed)"))
     q["hash_split"] = with_(["trips"], (
         "SELECT row_key, ('0x' || substr(md5('123|' || row_key), 1, 7))::BIGINT % 10000 AS bucket, "
-        "('0x' || substr(md5('123|' || row_key), 1, 7))::BIGINT % 10000 < 8000 AS is_train "
+        "('0x' || substr(md5('123|' || row_key), 1, 7))::BIGINT < 0.8 * 268435456 AS is_train "
         "FROM trips"))
     q["lr_coefficients"] = with_(["lr_fit"], (
         "SELECT 'intercept' AS term, round(b0, 4) AS value FROM lr_fit UNION ALL "

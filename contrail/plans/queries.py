@@ -70,7 +70,6 @@ NUMERIC = ("yr", "mo", "dep_hhmm", "arr_hhmm", "distance", "elapsed", "delay")
 PLACES = ("carrier", "origin", "dest")
 TIMES = ("dep_hhmm", "arr_hhmm")
 LR_FEATURES = ("distance", "mo")
-CUT_DIM_FILTER = "n_regionkey <> 0"
 
 
 def _r(c, places: int = 6):
@@ -95,10 +94,6 @@ def _typed(spark, d):
     return cast_columns(_clean(spark, d), NUMERIC, "int")
 
 
-def _cut_nation(spark, d):
-    return load_table(spark, d, "nation").filter(CUT_DIM_FILTER)
-
-
 def _split_typed(spark, d):
     typed = _typed(spark, d).select("row_key", *LR_FEATURES, "delay")
     return typed.withColumn("_split", split_label(["row_key"], (0.8, 0.2), 123))
@@ -122,7 +117,7 @@ def q_csv_scan(spark, d):
 def q_merge_inputs(spark, d):
     t = trips(spark, d)
     early = t.filter("yr <= 1995")
-    late = t.filter("yr > 1995").select(*reversed(t.columns))
+    late = t.filter("yr > 1995 OR yr IS NULL").select(*reversed(t.columns))
     text = lambda df: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     return merge_inputs([text(early), text(late)])
 
@@ -186,11 +181,16 @@ def q_tolerant_int(spark, d):
         F.col("l_quantity").cast("string").alias("qty"),
         F.col("l_extendedprice").cast("string").alias("price"),
         F.col("l_discount").cast("string").alias("discount"),
-        (F.col("l_extendedprice") * 100000).cast("string").alias("big"),
+        (F.col("l_extendedprice") * 100000).cast("decimal(20,2)").cast("string").alias("big"),
         F.col("l_returnflag").alias("flag"),
         F.concat(F.col("l_returnflag"), F.col("l_linenumber").cast("string")).alias("mixed"),
+        # text that a double cast reads as a number, and an int cast does not
+        F.concat(F.col("l_linenumber").cast("string"),
+                 F.element_at(F.array(*map(F.lit, ("D", "f", "e3", ".", ""))),
+                              (F.col("l_linenumber") % 5 + 1).cast("int"))).alias("suffixed"),
     )
-    return cast_columns(text, ["qty", "price", "discount", "big", "flag", "mixed"], "int")
+    return cast_columns(text, ["qty", "price", "discount", "big", "flag", "mixed", "suffixed"],
+                        "int")
 
 
 def q_valid_time(spark, d):
@@ -248,18 +248,19 @@ def q_row_counts(spark, d):
 # ---------------------------------------------------------------- lookups
 
 def q_role_join(spark, d):
-    return role_join(_no_null_rows(spark, d), _cut_nation(spark, d), "n_name",
+    return role_join(_no_null_rows(spark, d), load_table(spark, d, "nation"), "n_name",
                      {"origin": "origin", "dest": "dest"},
                      {"n_nationkey": "_nationkey", "n_regionkey": "_regionkey"})
 
 
 def q_missing_keys(spark, d):
-    return missing_keys(_clean(spark, d), _cut_nation(spark, d), "n_name", ["origin", "dest"])
+    return missing_keys(load_table(spark, d, "documents"), load_table(spark, d, "labels"),
+                        "doc_id", ["doc_id"])
 
 
 def q_missing_key_count(spark, d):
-    return missing_key_count(_clean(spark, d), _cut_nation(spark, d), "n_name",
-                             ["origin", "dest"])
+    return missing_key_count(load_table(spark, d, "documents"), load_table(spark, d, "labels"),
+                             "doc_id", ["doc_id"])
 
 
 # ---------------------------------------------------------------- statistics
@@ -404,7 +405,7 @@ def q_categorical_flow(spark, d):
 
 def q_numeric_flow(spark, d):
     cfg = TRIPS_CONFIG.with_(categorical=("carrier",))
-    return run_numeric(trips_text(spark, d), _cut_nation(spark, d), cfg).metrics
+    return run_numeric(trips_text(spark, d), load_table(spark, d, "nation"), cfg).metrics
 
 
 QUERIES: dict[str, Query] = {

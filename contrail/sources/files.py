@@ -26,6 +26,9 @@ def scan_csv(spark: SparkSession, paths: str | Sequence[str], *, sep: str = ",",
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("scan_csv: no input paths given")
+    if len(paths) > 1 and header and columns is None:
+        # each file's own header: one reader would take the first file's for all
+        return scan_inputs(spark, paths, sep=sep, null_value=null_value)
     reader = spark.read.option("header", header).option("sep", sep)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)

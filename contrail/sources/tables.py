@@ -14,12 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.sizing import (
-    DEFAULT_BROADCAST_ROWS,
-    broadcast_if_small,
-    has_at_most,
-    spread,
-)
+from contrail.operators.sizing import broadcast_if_small, fits_broadcast, spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -28,61 +23,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 TRIPS_COLUMNS = ("yr", "mo", "row_key", "carrier", "origin", "dest", "dep_hhmm",
                  "arr_hhmm", "sparse_col", "const_col", "distance", "elapsed", "delay")
 
-# The place dimension (nation) is bounded by design; the hint is still
-# gated by a row-count check.
-PLACE_DIM_MAX_ROWS = 100_000
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-_views: dict[tuple, DataFrame] = {}
-
-
-def _view(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Define a derived view once per session and input folder.
-
-    A DataFrame is an immutable logical plan: reusing it only saves the
-    driver-side analysis of its ~20 operations; every action still executes
-    the whole plan over the base tables (nothing is cached). The driver
-    tables are immutable inputs.
-    """
-    try:
-        sid = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        sid = str(id(spark))
-    key = (sid, os.path.abspath(sf_dir), name)
-    if key not in _views:
-        _views[key] = build()
-    return _views[key]
-
-
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed ``trips`` rows (ints stay ints, clock times are text)."""
-    return _view(spark, sf_dir, "trips", lambda: _build_trips(spark, sf_dir))
-
-
-def _build_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the ``trips`` plan.
+    """Typed ``trips`` rows (ints stay ints, clock times are text).
 
     Join order is chosen for scale: orders meet customer (+ place name)
     before the line-item join, so only the orders side is shuffled by
-    customer key. Each dimension side is broadcast only behind a row-count
-    check; above it (as at 100 TB for orders/customer/supplier) Spark plans
+    customer key. A dimension side is broadcast only while its scan is within
+    a bound in bytes; above it (as at 100 TB for orders/customer/supplier) Spark plans
     sort-merge joins, the line items being shuffled once by order key and
     once by supplier key, with AQE splitting skewed keys. The line items
     are never the broadcast side.
     """
     t = lambda name: load_table(spark, sf_dir, name)
-    key = lambda name: os.path.join(sf_dir, name)
     nation = t("nation").select("n_nationkey", "n_name")
-    places = broadcast_if_small(nation, PLACE_DIM_MAX_ROWS, key("nation"))
+    places = broadcast_if_small(nation)
 
-    # Size checks read the bare base scans (at most bound+1 rows each, no
-    # join executed); the join keys (customer, supplier, order keys) are
+    # Sizes are those of the bare base scans (file sizes, no job); the join keys (customer, supplier, order keys) are
     # primary keys, so a joined side is no larger than its driving table.
-    small = lambda name: has_at_most(t(name), DEFAULT_BROADCAST_ROWS, key(name))
+    small = lambda name: fits_broadcast(t(name))
     hint = lambda df, name: F.broadcast(df) if small(name) else df
     cust = (t("customer").select("c_custkey", "c_nationkey")
             .join(places.withColumnRenamed("n_name", "origin"),
@@ -123,7 +85,5 @@ def _build_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trips_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``trips`` with every column as text: the shape of a header CSV scan."""
-    def build():
-        df = trips(spark, sf_dir)
-        return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
-    return _view(spark, sf_dir, "trips_text", build)
+    df = trips(spark, sf_dir)
+    return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))

@@ -28,14 +28,16 @@ def test_role_join_inner(facts, airports):
     assert got == {"f1": (41.98, -97.04), "f3": (33.64, -87.9), "f4": (41.98, -87.9)}
 
 
-def test_role_join_broadcasts_checked_dim(facts, airports):
+def test_role_join_broadcasts_checked_dim(spark, facts, airports, tmp_path):
+    airports.write.parquet(str(tmp_path / "dim"))
+    airports = spark.read.parquet(str(tmp_path / "dim"))
     out = role_join(facts, airports, "iata", ROLES, ATTRS)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_role_join_above_bound_no_hint(facts, airports):
-    out = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_rows=1)
+    out = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_bytes=1)
     assert out.count() == 3  # same answer whatever the strategy
 
 
@@ -58,11 +60,11 @@ def test_missing_keys(facts, airports):
 
 def test_salted_shuffle_join_same_answer(spark, facts, airports):
     plain = role_join(facts, airports, "iata", ROLES, ATTRS)
-    salted = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_rows=1,
+    salted = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_bytes=1,
                        salt_buckets=4)
     assert salted.columns == plain.columns
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
-    left = role_join(facts, airports, "iata", ROLES, ATTRS, how="left", broadcast_max_rows=1,
+    left = role_join(facts, airports, "iata", ROLES, ATTRS, how="left", broadcast_max_bytes=1,
                      salt_buckets=3)
     assert left.count() == 4
 
@@ -71,7 +73,7 @@ def test_hot_key_spread_over_salts(spark, airports):
     # one origin holds every row: salting spreads it over the join tasks
     facts = spark.range(3000).selectExpr("cast(id as string) as id", "'ORD' as Origin",
                                          "'DFW' as Dest")
-    out = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_rows=1, salt_buckets=8)
+    out = role_join(facts, airports, "iata", ROLES, ATTRS, broadcast_max_bytes=1, salt_buckets=8)
     assert out.count() == 3000
     from pyspark.sql import functions as F
     salts = facts.select(F.pmod(F.xxhash64(*facts.columns), F.lit(8)).alias("s")).distinct().count()

@@ -46,3 +46,16 @@ def test_null_token_exact(spark):
 def test_has_letter_unicode(spark):
     df = spark.createDataFrame([("123",), ("N7",), ("é",), ("-1.5",)], "s string")
     assert [r[0] for r in df.select(has_letter(F.col("s"))).collect()] == [False, True, True, False]
+
+
+def test_tolerant_int_takes_plain_decimals_like_a_non_ansi_cast(spark):
+    texts = ["5D", "7f", "1e3", "0x1p3", "0.4", ".5", "12", " 12 ", "-3.9", "+4", "1.", "", "a",
+             "2147483647", "2147483648", "-2147483648", "99999999999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        want = [r[0] for r in df.selectExpr("cast(t as int)").collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)
+    assert [r[0] for r in df.select(tolerant_int("t")).collect()] == want

@@ -38,3 +38,10 @@ def test_merge_empty_list_errors(spark):
         merge_inputs([])
     with pytest.raises(ValueError):
         scan_csv(spark, [])
+
+
+def test_several_paths_align_by_header(spark, tmp_path):
+    for name, body in (("a.csv", "x,y\n1,a\n"), ("b.csv", "y,x\nb,2\n")):
+        (tmp_path / name).write_text(body)
+    df = scan_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert sorted((r.x, r.y) for r in df.collect()) == [("1", "a"), ("2", "b")]

@@ -24,3 +24,12 @@ def test_random_split_complete(spark):
     df = spark.range(1000)
     parts = random_split(df)
     assert sum(p.count() for p in parts) == 1000
+
+
+def test_null_keys_and_small_sides(spark):
+    df = spark.range(200_000).withColumn("k", F.when(F.col("id") % 4 > 0, F.col("id")))
+    parts = hash_split(df, ["k"], (1 - 1e-4, 1e-4))
+    assert sum(p.count() for p in parts) == 200_000 and parts[1].filter("k is not null").count() > 0
+    sides = [p.filter("k is null").count() for p in hash_split(df, ["k"], (0.5, 0.5))]
+    assert sorted(sides) == [0, 50_000]  # one key, one side, by its hash
+    assert df.filter(fold_column(["k"], 3).isNull()).count() == 0
