@@ -1,3 +1,4 @@
+import re
 """Property tests (hypothesis) for the per-row expressions and set operators."""
 
 from hypothesis import HealthCheck, given, settings
@@ -16,14 +17,12 @@ def py_minutes(h):
     return h - 40 * (h // 100)  # each full hundred counts 60 instead of 100
 
 
-def py_tolerant_int(s):
-    try:
-        d = float(s)
-    except (TypeError, ValueError):
+def py_tolerant_int(text):
+    """Plain decimal text only, truncated, in the range of an int."""
+    if not re.fullmatch(r"\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*", text):
         return None
-    if not (-2147483649.0 < d < 2147483648.0):
-        return None
-    return int(d)  # truncates toward zero
+    n = int(float(text))
+    return n if -2**31 <= n < 2**31 else None
 
 
 @SETTINGS
