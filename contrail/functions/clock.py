@@ -11,9 +11,8 @@ CLOCK_MAX = 2359
 
 
 def hhmm_to_minutes(c: Column | str) -> Column:
-    """``floor(h/100)*60 + (h - floor(h/100)*100)`` as INT.
+    """Minutes since midnight as INT: whole hundreds are hours, the rest are minutes.
 
-    Same arithmetic as the reference's per-row function, kept native:
     741 -> 461, 2359 -> 1439, 1275 -> 795, -5 -> 35. NULL stays NULL.
     """
     h = as_column(c)

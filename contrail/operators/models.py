@@ -17,6 +17,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.session import materialize_at, remove_staged
+
 DEFAULT_PREDICTION = "prediction"
 GRID_REG_PARAMS = (0.01, 0.1, 0.5)
 GRID_ELASTIC_NET = (0.0, 0.5, 1.0)
@@ -97,14 +99,15 @@ def grid_search(train: DataFrame, label: str, features: str = "features", *,
     fits several grid points at once. ``stage`` first writes the model input
     (features, label, fold) to the shared staging folder: every fold and
     every solver iteration then reads that table instead of re-deriving the
-    features through the whole upstream plan (4x faster at sf0.1), and the
-    lineage is cut. Returns ``(cv_model, table)`` where table is
-    ``(regParam, elasticNetParam, avg_rmse)``.
+    features through the whole upstream plan, and the lineage is cut; the
+    staged table is removed after fitting (with ``stage=False`` the best
+    model's training summary can still read its input). Returns
+    ``(cv_model, table)`` where table is ``(regParam, elasticNetParam,
+    avg_rmse, is_best)``; of ties the first grid point is the best.
     """
     if stage:
-        from contrail.session import materialize
         cols = [features, label] + ([fold_col] if fold_col else [])
-        train = materialize(train.select(*cols), "cv-input")
+        train, path = materialize_at(train.select(*cols), "cv-input")
     lr = LinearRegression(featuresCol=features, labelCol=label, predictionCol=prediction)
     grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_params))
             .addGrid(lr.elasticNetParam, list(elastic_net)).build())
@@ -114,9 +117,15 @@ def grid_search(train: DataFrame, label: str, features: str = "features", *,
                   numFolds=num_folds, seed=seed, parallelism=parallelism)
     if fold_col:
         kwargs["foldCol"] = fold_col
-    cv_model = CrossValidator(**kwargs).fit(train)
-    rows = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(m))
-            for pm, m in zip(grid, cv_model.avgMetrics)]
     spark = train.sparkSession
-    table = spark.createDataFrame(rows, "regParam double, elasticNetParam double, avg_rmse double")
+    try:
+        cv_model = CrossValidator(**kwargs).fit(train)
+    finally:
+        if stage:
+            remove_staged(spark, path)
+    best = min(range(len(grid)), key=lambda i: cv_model.avgMetrics[i])
+    rows = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(m), i == best)
+            for i, (pm, m) in enumerate(zip(grid, cv_model.avgMetrics))]
+    table = spark.createDataFrame(
+        rows, "regParam double, elasticNetParam double, avg_rmse double, is_best boolean")
     return cv_model, table

@@ -109,11 +109,11 @@ def _profile_union(source: str, cols, select_fn) -> str:
         for i, c in enumerate(cols))
 
 
-def _corr_pairs() -> str:
+def _corr_pairs(cols=NUMERIC, source: str = "typed") -> str:
     parts = []
-    for i, a in enumerate(NUMERIC):
-        for j, b in enumerate(NUMERIC):
-            src = "" if i == j else " FROM typed"
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            src = "" if i == j else f" FROM {source}"
             val = "1.0" if i == j else f"corr({a}, {b})"
             parts.append(f"SELECT '{a}' AS var_a, {i} AS pos_a, '{b}' AS var_b, {j} AS pos_b, "
                          f"CAST({val} AS DOUBLE) AS corr{src}")
@@ -128,10 +128,66 @@ def _index_counts(source: str) -> str:
             f"ORDER BY n_rows DESC, value) - 1 AS DOUBLE) AS idx, n_rows FROM ({counts})")
 
 
+# Ridge regression of Spark ML by its closed form: predictors and label standardised by their
+# population deviation, the penalty divided by the label's deviation; 3 folds by hash.
+RIDGE = """
+SELECT regParam, round(avg(rmse), 4) AS avg_rmse,
+       avg(rmse) = min(avg(rmse)) OVER () AS is_best FROM (
+  SELECT regParam, fold, sqrt(avg((m.avg_y + b1 * (t.distance - m.avg_x1)
+                                   + b2 * (t.mo - m.avg_x2) - t.delay) ^ 2)) AS rmse
+  FROM (
+    SELECT regParam, f AS fold, avg_x1, avg_x2, avg_y,
+      ((s22 + l * s22) * s1y - s12 * s2y) / ((s11 + l * s11) * (s22 + l * s22) - s12 * s12) AS b1,
+      ((s11 + l * s11) * s2y - s12 * s1y) / ((s11 + l * s11) * (s22 + l * s22) - s12 * s12) AS b2
+    FROM (
+      SELECT *, regParam / sqrt(syy) AS l FROM (
+        SELECT f, var_pop(distance) AS s11, var_pop(mo) AS s22, var_pop(delay) AS syy,
+          covar_pop(distance, mo) AS s12, covar_pop(distance, delay) AS s1y,
+          covar_pop(mo, delay) AS s2y, avg(distance) AS avg_x1, avg(mo) AS avg_x2,
+          avg(delay) AS avg_y
+        FROM folds, range(3) r(f) WHERE fold <> f GROUP BY f),
+      (SELECT unnest([0.01, 0.1, 0.5])::DOUBLE AS regParam))
+  ) m JOIN folds t USING (fold) GROUP BY regParam, fold
+) GROUP BY regParam
+""".replace("folds", "(SELECT *, (('0x' || substr(md5('124|' || row_key), 1, 7))::BIGINT % 10000) "
+            "% 3 AS fold FROM split_typed WHERE is_train)")
+
+
+def _flow_report(numeric: bool) -> str:
+    """Counts and dropped columns of a flow over rows delivered twice. Which columns are
+    sparse, constant, text or listed as correlated follows from how ``trips`` is made."""
+    clean = f"SELECT DISTINCT {_cols(NO_CONST_COLS)} FROM no_null_rows"
+    kept = " AND ".join(f"NOT ({tol_int(t)} > 2359)" for t in TIMES)
+    # a place of region 0 is listed twice, so its rows are doubled, once a role
+    times = ("(CASE WHEN o.n_regionkey = 0 THEN 2 ELSE 1 END "
+             "* CASE WHEN e.n_regionkey = 0 THEN 2 ELSE 1 END)") if numeric else "1"
+    joins = (" JOIN nation o ON c.origin = o.n_name JOIN nation e ON c.dest = e.n_name"
+             if numeric else "")
+    total = lambda where: (f"(SELECT CAST(coalesce(sum({times}), 0) AS BIGINT) "
+                           f"FROM ({clean}) c{joins} WHERE {where})")
+    n, complete = "(SELECT 2 * count(*) FROM trips_clean)", "(SELECT 2 * count(*) FROM no_null_rows)"
+    distinct = f"(SELECT count(*) FROM ({clean}))"
+    items = {"n_rows": n, "dropped_null_rows": f"{n} - {complete}",
+             "n_rows_after_dedupe": distinct, "duplicates": f"{complete} - {distinct}",
+             "rows_without_lookup": "0", "invalid_time_rows": total(f"NOT ({kept})"),
+             "rows_dropped_by_cast": "0", "n_rows_clean": total(kept)}
+    if numeric:
+        items |= {"n_missing_keys": "0", "n_rows_after_joins": total("true"),
+                  "dim_duplicate_keys": "(SELECT count(*) FROM nation WHERE n_regionkey = 0)"}
+    drops = {"sparse_dropped": "sparse_col", "constant_dropped": "const_col",
+             "unencoded_dropped": "", "correlated_dropped": "elapsed"}
+    rows = [f"SELECT '{k}' AS item, CAST({v} AS BIGINT) AS n, '' AS columns"
+            for k, v in items.items()]
+    rows += [f"SELECT '{k}', {len(v.split(',')) if v else 0}, '{v}'" for k, v in drops.items()]
+    return "\nUNION ALL\n".join(rows)
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     all_cols = _cols(TRIPS_COLUMNS)
     q["csv_scan"] = with_(["trips_text"], f"SELECT {all_cols} FROM trips_text")
+    q["dimension_scan"] = ("SELECT n_name, CAST(n_nationkey AS VARCHAR) AS n_nationkey "
+                           "FROM nation")
     q["merge_inputs"] = with_(["trips_text"], f"SELECT {all_cols} FROM trips_text")
     q["null_token"] = with_(["trips_clean"], f"SELECT {all_cols} FROM trips_clean")
     q["drop_columns"] = with_(["trips_clean"],
@@ -213,6 +269,11 @@ def oracles() -> dict[str, str]:
                                         f"FROM ({pairs})")
     high = (f"SELECT * FROM ({pairs}) WHERE pos_a < pos_b AND corr IS NOT NULL "
             "AND NOT isnan(corr) AND abs(corr) > 0.9")
+    sparse = ("sparse_col", "distance", "elapsed", "delay")
+    q["corr_matrix_nulls"] = with_(["trips_clean"], (
+        f"SELECT var_a, pos_a, var_b, pos_b, round(corr, 6) AS corr FROM ({_corr_pairs(sparse, 't')})"
+    ).replace("FROM t", "FROM (SELECT " + ", ".join(f"{tol_int(c)} AS {c}" for c in sparse)
+              + " FROM trips_clean)"))
     q["high_corr_pairs"] = with_(["typed"], f"SELECT var_a, pos_a, var_b, pos_b, "
                                             f"round(corr, 6) AS corr FROM ({high})")
     q["high_corr_columns"] = with_(["typed"], (
@@ -251,4 +312,10 @@ def oracles() -> dict[str, str]:
         "SELECT count(*) AS n, avg((prediction - delay) ^ 2) AS mse, "
         "avg(abs(prediction - delay)) AS mae, var_pop(delay) AS var_y, avg(delay) AS mean_y, "
         "var_pop(prediction) AS var_p, avg(prediction) AS mean_p FROM lr_pred)"))
+    q["random_split_check"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_overlap FROM lineitem"
+    q["rf_bounds"] = with_(["split_typed"], (
+        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_outside FROM split_typed WHERE NOT is_train"))
+    q["cv_ridge"] = with_(["split_typed"], RIDGE)
+    q["categorical_flow_report"] = with_(["no_null_rows"], _flow_report(False))
+    q["numeric_flow_report"] = with_(["no_null_rows"], _flow_report(True))
     return q

@@ -60,8 +60,8 @@ from contrail.operators.stats import (
 from contrail.plans.config import TRIPS_CONFIG
 from contrail.plans.flows import run_categorical, run_numeric
 from contrail.operators.sizing import spread
-from contrail.session import staging_path
-from contrail.sources.files import merge_inputs, scan_csv
+from contrail.session import materialize, staging_path
+from contrail.sources.files import merge_inputs, scan_csv, scan_dimension
 from contrail.sources.tables import TRIPS_COLUMNS, load_table, trips, trips_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,8 +86,13 @@ def _no_null_rows(spark, d):
     return drop_null_rows(drop_sparse_columns(_clean(spark, d)))
 
 
+def _staged_rows(spark, d):
+    """The complete rows, staged: what follows reads files, not the joins again."""
+    return materialize(_no_null_rows(spark, d), "complete")
+
+
 def _no_constants(spark, d):
-    return drop_constant_columns(_no_null_rows(spark, d))
+    return drop_constant_columns(_staged_rows(spark, d))
 
 
 def _typed(spark, d):
@@ -100,10 +105,17 @@ def _split_typed(spark, d):
 
 
 def _lr_parts(spark, d):
-    df = assemble(_split_typed(spark, d), list(LR_FEATURES), "features")
-    train = df.filter("_split = 0")
-    test = df.filter("_split = 1")
-    return train, test
+    df = materialize(_lr_input(spark, d), "lr-input")
+    return df.filter("_split = 0"), df.filter("_split = 1")
+
+
+def _lr_input(spark, d):
+    return assemble(_split_typed(spark, d), list(LR_FEATURES), "features")
+
+
+def _folds(spark, d):
+    train = _lr_input(spark, d).filter("_split = 0")  # grid_search stages it
+    return train.withColumn("fold", fold_column(["row_key"], 3, 123))
 
 
 # ---------------------------------------------------------------- sources
@@ -114,6 +126,12 @@ def q_csv_scan(spark, d):
     return scan_csv(spark, path).select(*TRIPS_COLUMNS)
 
 
+def q_dimension_scan(spark, d):
+    path = staging_path(spark, "dimension")
+    load_table(spark, d, "nation").write.option("header", True).csv(path)
+    return scan_dimension(spark, path, ["n_name", "n_nationkey"])
+
+
 def q_merge_inputs(spark, d):
     t = trips(spark, d)
     early = t.filter("yr <= 1995")
@@ -221,7 +239,7 @@ def q_detect_categorical(spark, d):
 
 
 def q_category_counts(spark, d):
-    return category_counts(_no_constants(spark, d), list(PLACES))
+    return category_counts(_no_null_rows(spark, d), list(PLACES))
 
 
 def q_row_counts(spark, d):
@@ -278,6 +296,13 @@ def _corr(spark, d):
     return corr_matrix(_typed(spark, d), list(NUMERIC))
 
 
+def q_corr_matrix_nulls(spark, d):
+    """Pairwise deletion: ``sparse_col`` is NULL in many rows."""
+    cols = ("sparse_col", "distance", "elapsed", "delay")
+    typed = cast_columns(_clean(spark, d).select(*cols), cols, "int")
+    return corr_matrix(typed, cols).withColumn("corr", _r(F.col("corr")))
+
+
 def q_corr_matrix(spark, d):
     return _corr(spark, d).withColumn("corr", _r(F.col("corr")))
 
@@ -304,14 +329,14 @@ def _index_long(df, cols, value_suffix=INDEX_SUFFIX):
 
 
 def q_string_index(spark, d):
-    indexed, _ = string_index(_no_null_rows(spark, d), list(PLACES))
+    indexed, _ = string_index(_staged_rows(spark, d), list(PLACES))
     return (_index_long(indexed, PLACES).groupBy("column_name", "value", "idx")
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def q_one_hot(spark, d):
     from pyspark.ml.functions import vector_to_array
-    base = _no_null_rows(spark, d)
+    base = _staged_rows(spark, d)
     _, model, _ = encode_categoricals(base, list(PLACES), rename=False)
     # keep the text and index next to the vector to report the mapping
     enc = model.transform(base)
@@ -347,11 +372,20 @@ def q_hash_split(spark, d):
 
 
 def q_random_split(spark, d):
-    train, test = random_split(trips(spark, d).select("row_key", "delay"), (0.8, 0.2), 123)
+    # staged: both sides must draw over the same rows in the same partitions
+    rows = materialize(trips(spark, d).select("row_key", "delay"), "split-input")
+    train, test = random_split(rows, (0.8, 0.2), 123)
     return train.withColumn("side", F.lit("train")).unionByName(
         test.withColumn("side", F.lit("test")))
 
 
+def q_random_split_check(spark, d):
+    """Every row is on exactly one side; which one, the oracle cannot tell."""
+    n = q_random_split(spark, d).groupBy("row_key").agg(
+        F.count("*").alias("n"), F.count_distinct("side").alias("sides"))
+    return n.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("sides") > 1).alias("n_overlap"))
+
+
 # ---------------------------------------------------------------- models
 
 def q_lr_coefficients(spark, d):
@@ -380,18 +414,34 @@ def q_rf_predict(spark, d):
     return model.transform(test).select("row_key", "prediction")
 
 
+def q_rf_bounds(spark, d):
+    """Predicted rows, and those outside the training labels' range (a mean of labels is in
+    it). The oracle proves the rows and the range, not the trees."""
+    train, test = _lr_parts(spark, d)
+    low, high = train.agg(F.min("delay"), F.max("delay")).first()
+    predicted = fit_forest(train, "delay", num_trees=100, seed=123).transform(test)
+    return predicted.agg(F.count("*").alias("n_rows"), F.count_if(
+        ~F.col("prediction").between(low, high)).alias("n_outside"))
+
+
 def q_cv_grid(spark, d):
-    train, _ = _lr_parts(spark, d)
-    train = train.withColumn("fold", fold_column(["row_key"], 3, 123))
-    _, table = grid_search(train, "delay", fold_col="fold", parallelism=9)
+    _, table = grid_search(_folds(spark, d), "delay", fold_col="fold", parallelism=9)
     return table
 
 
+def q_cv_ridge(spark, d):
+    """The grid's points without an L1 part, which have a closed form."""
+    _, table = grid_search(_folds(spark, d), "delay", fold_col="fold", parallelism=3,
+                           elastic_net=(0.0,))
+    return table.select("regParam", _r(F.col("avg_rmse"), 4).alias("avg_rmse"), "is_best")
+
+
 def q_ml_stages(spark, d):
     from pyspark.ml.regression import LinearRegression
     typed = _no_null_rows(spark, d)
-    typed = cast_columns(typed, [c for c in NUMERIC if c in typed.columns], "int").withColumn(
-        "_split", split_label(["row_key"], (0.8, 0.2), 123))
+    typed = materialize(cast_columns(
+        typed, [c for c in NUMERIC if c in typed.columns], "int").withColumn(
+        "_split", split_label(["row_key"], (0.8, 0.2), 123)), "ml-input")
     lr = LinearRegression(featuresCol="features", labelCol="delay")
     pipe = model_pipeline(list(PLACES), ["yr", "mo", "distance"], lr)
     model = pipe.fit(typed.filter("_split = 0"))
@@ -408,8 +458,43 @@ def q_numeric_flow(spark, d):
     return run_numeric(trips_text(spark, d), load_table(spark, d, "nation"), cfg).metrics
 
 
+def _report_rows(spark, report, extra):
+    """(item, n, columns): the counts of a flow's report and its dropped columns."""
+    counts = ("n_rows", "dropped_null_rows", "n_rows_after_dedupe", "duplicates",
+              "rows_without_lookup", "invalid_time_rows", "rows_dropped_by_cast")
+    drops = ("sparse_dropped", "constant_dropped", "unencoded_dropped", "correlated_dropped")
+    rows = [(c, int(report[c]), "") for c in counts] + [(c, int(n), "") for c, n in extra]
+    rows += [(c, len(report[c]), ",".join(sorted(report[c]))) for c in drops]
+    return spark.createDataFrame(rows, "item string, n bigint, columns string")
+
+
+def _raw_twice(spark, d):
+    once = trips_text(spark, d)
+    return merge_inputs([once, once])
+
+
+def q_categorical_flow_report(spark, d):
+    """The flow's decisions and row counts over rows delivered twice; no model is fitted
+    here, as ``categorical_flow`` fits both."""
+    res = run_categorical(_raw_twice(spark, d), TRIPS_CONFIG.with_(models=()))
+    return _report_rows(spark, res.report, [("n_rows_clean", res.clean.count())])
+
+
+def q_numeric_flow_report(spark, d):
+    """The same for the numeric flow, with a dimension whose region 0 is listed twice."""
+    dim = load_table(spark, d, "nation")
+    dim = dim.unionByName(dim.filter("n_regionkey = 0"))
+    res = run_numeric(_raw_twice(spark, d), dim,
+                      TRIPS_CONFIG.with_(categorical=("carrier",), models=()))
+    return _report_rows(spark, res.report, [
+        ("n_rows_clean", res.clean.count()), ("n_missing_keys", res.report["n_missing_keys"]),
+        ("dim_duplicate_keys", res.report["dim_duplicate_keys"]),
+        ("n_rows_after_joins", res.report["n_rows_after_joins"])])
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
+    "dimension_scan": q_dimension_scan,
     "merge_inputs": q_merge_inputs,
     "null_token": q_null_token,
     "drop_columns": q_drop_columns,
@@ -435,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "trend": q_trend,
     "trend_fallback": q_trend_fallback,
     "corr_matrix": q_corr_matrix,
+    "corr_matrix_nulls": q_corr_matrix_nulls,
     "high_corr_pairs": q_high_corr_pairs,
     "high_corr_columns": q_high_corr_columns,
     "drop_correlated": q_drop_correlated,
@@ -444,12 +530,17 @@ QUERIES: dict[str, Query] = {
     "min_max_scale": q_min_max_scale,
     "hash_split": q_hash_split,
     "random_split": q_random_split,
+    "random_split_check": q_random_split_check,
     "lr_coefficients": q_lr_coefficients,
     "lr_predict": q_lr_predict,
     "regression_metrics": q_regression_metrics,
     "rf_predict": q_rf_predict,
+    "rf_bounds": q_rf_bounds,
     "cv_grid": q_cv_grid,
+    "cv_ridge": q_cv_ridge,
     "ml_stages": q_ml_stages,
     "categorical_flow": q_categorical_flow,
     "numeric_flow": q_numeric_flow,
+    "categorical_flow_report": q_categorical_flow_report,
+    "numeric_flow_report": q_numeric_flow_report,
 }

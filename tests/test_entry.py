@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from contrail.plans.queries import QUERIES
 from contrail.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
@@ -10,9 +11,9 @@ NO_ORACLE = {"random_split", "rf_predict", "cv_grid", "ml_stages", "categorical_
 
 
 def test_contract_keys():
-    q, o = queries(), oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == NO_ORACLE
+    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries())
+    assert set(QUERIES) - set(oracle_sql()) == NO_ORACLE
 
 
 def test_entry_runs(spark):
@@ -38,7 +39,10 @@ def _norm(v):
 @pytest.mark.parametrize("name", ["null_profile", "distinct_profile", "role_join", "corr_matrix",
                                   "string_index", "one_hot", "hash_split", "lr_coefficients",
                                   "regression_metrics", "tolerant_int", "hhmm_to_minutes",
-                                  "duplicate_count", "missing_keys", "row_counts"])
+                                  "duplicate_count", "missing_keys", "row_counts",
+                                  "dimension_scan", "corr_matrix_nulls", "random_split_check",
+                                  "rf_bounds", "cv_ridge", "categorical_flow_report",
+                                  "numeric_flow_report"])
 def test_oracle_agrees_small(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -54,3 +56,16 @@ def test_grid_search_table(linear_data):
     assert {(r.regParam, r.elasticNetParam) for r in rows} == {
         (a, b) for a in (0.01, 0.1, 0.5) for b in (0.0, 0.5, 1.0)}
     assert min(r.avg_rmse for r in rows) == min(model.avgMetrics)
+    best = [(r.regParam, r.elasticNetParam) for r in rows if r.is_best]
+    assert len(best) == 1
+    chosen = model.bestModel
+    assert best[0] == (chosen.getRegParam(), chosen.getElasticNetParam())
+
+
+def test_grid_search_leaves_no_staged_table(spark, linear_data):
+    from contrail.session import staging_root
+    root = staging_root(spark).removeprefix("file:")
+    train = linear_data.withColumn("fold", fold_column(["key"], 3))
+    before = set(os.listdir(root))
+    grid_search(train, "y", fold_col="fold", reg_params=(0.1,), elastic_net=(0.0,))
+    assert not [p for p in set(os.listdir(root)) - before if "cv-input" in p]

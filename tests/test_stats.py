@@ -70,3 +70,14 @@ def test_pair_moments_bounds(spark):
     import statistics
     assert abs(rows[(0, 1)].var_a - statistics.pvariance([1.0, 3.0, 9.0])) < 1e-12
     assert abs(rows[(0, 1)].cov - (-50.0 / 3)) < 1e-12
+
+
+def test_corr_with_nulls_does_not_multiply_rows(spark):
+    """A pair never present together is NULL, and no Generate multiplies the rows."""
+    df = spark.createDataFrame([(1.0, None, 1e9), (None, 2.0, 1e9 + 1), (3.0, None, 1e9 + 3)],
+                               "a double, b double, c double")
+    got = {(r.var_a, r.var_b): r.corr for r in corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "b")] is None
+    assert abs(got[("a", "c")] - 1.0) < 1e-9
+    plan = corr_matrix(df, ["a", "b", "c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
