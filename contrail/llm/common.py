@@ -44,8 +44,11 @@ def text_hash(text: Column) -> Column:
 
 def hash_below(bound: int, total: int, *cols: Column, seed: int = 7) -> Column:
     """A repeatable sample of about ``bound`` of ``total`` rows, by a hash of ``cols``."""
-    share = min(1.0, bound / max(total, 1))
-    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1_000_000)) < int(share * 1_000_000)
+    if bound >= total:
+        return F.lit(True)
+    # The whole hash is compared, so a small share of a very large table is not rounded to none.
+    return F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(
+        (1 << 63) * bound // total)
 
 
 def digest_of_spans(spans: Column) -> Column:
@@ -59,7 +62,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: li
                 how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join on ``keys`` where one key may hold a large share of ``big``'s rows.
 
-    ``small`` must be unique on ``keys``. Each of its rows is repeated once a
+    Each row of ``small`` (unique on ``keys`` in a left join) is repeated once a
     salt, ``big``'s rows take the salt of a hash of ``spread_by``, so that a
     hot key is dealt to ``salts`` tasks. Inner and left joins only. The merge hint
     keeps Spark from broadcasting ``small`` by an estimate that ignores the salts.
@@ -77,9 +80,9 @@ def checked(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def checked_join(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str],
-                 how: str = "inner") -> DataFrame:
+                 how: str = "inner", rows: int | None = None) -> DataFrame:
     """As ``salted_join``, by broadcast while ``small``, of a staged table, is within the bound."""
-    if small.count() <= BROADCAST_ROWS:
+    if (small.count() if rows is None else rows) <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), keys, how)
     return salted_join(big, small, keys, spread_by, how)
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import checked, text_hash
+from contrail.llm.common import checked, checked_join, text_hash
 from contrail.session import materialize
 
 WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -71,7 +71,9 @@ def postings(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
         "row", "doc_id", "text_key", F.size("words").alias("n_words"),
         F.posexplode(F.concat(F.array(F.lit("")), F.col("words"))).alias("pos", "word")
     ).withColumn("word", lower_ascii(F.col("word")))
-    return materialize(places.join(checked(vocabulary), "word").drop("word"), "postings")
+    # Beyond the bound a frequent word's places are dealt to many tasks by salts.
+    return materialize(checked_join(places, vocabulary, ["word"], ["row", "pos"]).drop("word"),
+                       "postings")
 
 
 def anchors(index: DataFrame, terms: DataFrame, window: int = 10) -> DataFrame:
@@ -99,11 +101,13 @@ def anchors(index: DataFrame, terms: DataFrame, window: int = 10) -> DataFrame:
 def _near(index: DataFrame, anchor: DataFrame, slop: int) -> DataFrame:
     """Rows whose list of the rarest term meets that of the second rarest, off by up to ``slop``."""
     n = anchor.count()
-    ones = index.select("row", "pos", F.col("term").alias("term1")).join(
-        checked(anchor, n), "term1").withColumn("diagonal", F.col("pos") - F.col("place1"))
-    second = index.join(checked(anchor.filter("term2 is not null").select(
-        F.col("term2").alias("term")).distinct(), n), "term", "left_semi").select(
-        "row", F.col("term").alias("term2"), F.col("pos").alias("pos2"))
+    ones = checked_join(index.select("row", "pos", F.col("term").alias("term1")), anchor,
+                        ["term1"], ["row", "pos"], rows=n).withColumn(
+        "diagonal", F.col("pos") - F.col("place1"))
+    seconds = anchor.filter("term2 is not null").select(F.col("term2").alias("term")).distinct()
+    second = checked_join(index.select("row", "term", "pos"), seconds, ["term"], ["row", "pos"],
+                          rows=n).select("row", F.col("term").alias("term2"),
+                                         F.col("pos").alias("pos2"))
     shifts = F.sequence(F.lit(-slop), F.lit(slop)) if slop else F.array(F.lit(0))
     two = (ones.filter("term2 is not null").withColumn("off", F.explode(shifts))
            .withColumn("pos2", F.col("diagonal") + F.col("place2") + F.col("off"))
@@ -121,8 +125,8 @@ def phrase_matches(index: DataFrame, terms: DataFrame, window: int = 10) -> Data
             F.col("first"), F.col("last") + F.col("w") - 1)).alias("place")).distinct(), "sought")
     rows = materialize(where.select("row").distinct(), "rows")
     within = index.join(checked(rows), "row", "left_semi").select("row", "term", "pos")
-    wanted = where.join(checked(terms.select("item", "place", "term")), ["item", "place"]).withColumn(
-        "pos", F.col("diagonal") + F.col("place"))
+    wanted = checked_join(where, terms.select("item", "place", "term"), ["item", "place"],
+                          ["row", "diagonal"]).withColumn("pos", F.col("diagonal") + F.col("place"))
     met = wanted.join(within, ["row", "term", "pos"])
     line = ["row", "item", "item_id", "w", "diagonal"]
     run = F.col("place") - F.row_number().over(Window.partitionBy(line).orderBy("place"))

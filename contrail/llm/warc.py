@@ -11,7 +11,8 @@ the payload's SHA-1 against its header. After a failed check it searches
 for the next version line (in gzip files, the next member) at which a record
 passes all checks, goes on there, and logs the bytes between as a ``gap`` with the
 reason. One archive is parsed in one task, so archives are kept small
-(``records_per_file``); payloads are handed on record by record.
+(``records_per_file``, fewer where payloads are large); payloads are handed on record by
+record.
 
 Defined results: a NULL payload is an empty one; a NULL id is an empty id in the
 record and NULL when read; of repeated rows with the smallest id all are
@@ -88,9 +89,20 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return p.select(F.concat(head, block).alias("record"))
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = 2_000, **columns) -> None:
-    (records(pages, **columns).write.mode("overwrite").option("lineSep", END)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+def write_warc(pages: DataFrame, path: str, records_per_file: int = 2_000,
+               small_bytes: int = 1 << 18, **columns) -> None:
+    """Archives of ``records_per_file`` records under ``path``. Payloads above ``small_bytes``
+    go by sixteenfold steps of size to sub-folders, with fewer records a file, so that no file
+    but that of a single record exceeds ``records_per_file * small_bytes`` and the headers."""
+    size = F.coalesce(F.octet_length(columns.get("payload_col", "html")), F.lit(0))
+    longest = pages.agg(F.max(size)).first()[0] or 0
+    step, low, high = 0, 0, small_bytes
+    while not step or low <= longest:  # equal payloads are equally long, so they stay together
+        part = pages.filter(size.between(low, high)) if longest > small_bytes else pages
+        (records(part, **columns).write.mode("overwrite").option("lineSep", END)
+         .option("maxRecordsPerFile", max(1, records_per_file >> 4 * step))
+         .text(f"{path}/larger-{step}" if step else path))
+        step, low, high = step + 1, high + 1, high << 4
 
 
 def _record(data, at: int):
@@ -220,7 +232,8 @@ def _parse(with_payload: bool):
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Records and gaps of all archives under ``path`` (columns of ``RECORD``)."""
-    files = spark.read.format("binaryFile").load(path).filter("length > 0")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .filter("length > 0"))
     return files.select("path", "content").mapInArrow(_parse(with_payload), RECORD)
 
 

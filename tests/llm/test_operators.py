@@ -56,6 +56,21 @@ def by_id(df, key="doc_id"):
     return {r[key]: r for r in df.collect()}
 
 
+# --- samples -----------------------------------------------------------------------------
+
+
+def test_sample_of_a_very_large_table(spark):
+    """The share may be below one in a million: here 2,000 of 4e9, so about 20 of 40 million."""
+    from contrail.llm.common import hash_below
+
+    rows = spark.range(1 << 20)
+    assert rows.filter(hash_below(500, 1 << 20, F.col("id"))).count() in range(400, 600)
+    assert rows.filter(hash_below(1 << 20, 1 << 20, F.col("id"))).count() == 1 << 20
+    assert rows.filter(hash_below(5, 0, F.col("id"))).count() == 1 << 20
+    wide = spark.range(40_000_000).filter(hash_below(2_000, 4_000_000_000, F.col("id")))
+    assert wide.count() in range(5, 45)
+
+
 # --- secrets -----------------------------------------------------------------------------
 
 
@@ -373,6 +388,20 @@ def test_decontamination(spark):
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
+    """A vocabulary, anchors and terms too many to broadcast are joined with salts."""
+    from contrail.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    items = [(1, "a b c d e f g h i j k"), (2, "solo"), (3, "a a a a a a a a a a a a"), (4, None)]
+    texts = [None, "", "solo x solo", "x a b c d e f g h i j y", "a " * 30, "b c d e f g h i j k",
+             "a b c d e f g h i", *["A, B c d e f g h i j k l"] * 5]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contamination(documents(spark, texts), bench)
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in found.collect()} == \
+        brute_contamination(texts, items)
+
+
 def test_proximity(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id int, text string")
     docs = documents(spark, ["alpha x beta gamma", "alpha beta gamma", "alpha alpha alpha"])
@@ -461,6 +490,28 @@ def test_warc_round_trip(spark):
     assert warc.warc_round_trip(pages(spark).limit(0)).count() == 0
 
 
+def test_warc_larger_payloads(spark):
+    path = staging_path(spark, "larger")
+    texts = {i: ("a" if i % 3 else "b") * n for i, n in enumerate([0, 5, 9, 10, 11, 160, 161, 2560,
+                                                                   2561, 5, 161, 11])}
+    rows = spark.createDataFrame([(i, "u", t) for i, t in texts.items()],
+                                 "page_id bigint, url string, html string")
+    warc.write_warc(rows.coalesce(1), path, records_per_file=32, small_bytes=10)
+    got = warc.read_warc(spark, path).collect()
+    assert {r["kind"] for r in got} == {"record"} and len(got) == len(texts)
+    per_file: dict = {}
+    for r in got:
+        per_file.setdefault(r["file"], []).append(r["payload_bytes"])
+    for sizes in per_file.values():
+        assert len(sizes) * max(sizes) <= 32 * 10 or len(sizes) == 1
+    first: dict = {}
+    for i, t in texts.items():
+        first.setdefault(t, i)
+    assert {(r["record_id"], r["refers_to"]) for r in got} == {
+        (f"<urn:page:{i}>", None if first[t] == i else f"<urn:page:{first[t]}>")
+        for i, t in texts.items()}
+
+
 def test_warc_salvage(spark):
     path = staging_path(spark, "salvage")
     warc.write_warc(pages(spark).filter("page_id > 4").coalesce(1), path)
