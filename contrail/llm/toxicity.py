@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from contrail.llm.common import by_value, cells, hash_below, held_out, learnable
+from contrail.llm.common import by_value, cells, checked, hash_below, held_out, learnable
+from contrail.session import materialize
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BEGINNINGS = (4, 5, 6, 7)  # bytes
@@ -206,8 +207,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     known = (labels.filter(F.col(label_col).isNotNull() & learnable(F.col(id_col)))
              .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col)).alias("__y")))
-    sample = known.filter(hash_below(max_train_rows, known.count(), F.col("__id")))
-    rows = (docs.join(sample, docs[id_col] == sample["__id"])
+    sample = materialize(known.filter(hash_below(max_train_rows, known.count(), F.col("__id"))),
+                         "sample")
+    # The sample is bounded and counted, so no text is shuffled to meet it.
+    rows = (docs.join(checked(sample), docs[id_col] == sample["__id"])
             .select("__id", "__y", bucket_udf(bits)(docs[text_col]).alias("b"))
             .groupBy("__id", "__y", "b").count().orderBy("__id", "b")
             .select("b", F.col("__y").cast("double").alias("y")).toArrow())
