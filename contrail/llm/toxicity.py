@@ -14,8 +14,8 @@ of them after the linear fit. All others stay at zero, so a long clean text
 gathers no noise; copies and near copies in the sample vote once. Weights and factors
 are then fitted together by full-batch Adam with L2.
 
-What is broadcast holds one row a fitted bucket, at most ``max_terms`` (the
-strongest); every text is scored whole on executors.
+What is broadcast holds one row a fitted bucket; none that passes is left out, and the
+sample bounds their number. Every text is scored whole on executors.
 
 Defined results: a NULL or empty text scores the bias alone; words are runs of
 ASCII letters, digits and non-ASCII characters, A-Z lower-cased; repeated
@@ -87,21 +87,28 @@ def logit(bias: float, weights, factors) -> float:
     return float(bias + weights.sum() + 0.5 * (total @ total - (factors ** 2).sum()))
 
 
-def _adam(x, y, k: int, l2: float, rounds: int, rate: float, seed: int, bias: float):
-    """(bias, weights, factors) of a machine over the dense 0/1 matrix x; k = 0: linear."""
+def _adam(row, at, m: int, y, k: int, l2: float, rounds: int, rate: float, seed: int,
+          bias: float):
+    """(bias, weights, factors) of a machine over the m terms ``at`` of the texts ``row``, an
+    entry a term and text; k = 0: linear."""
     import numpy as np
 
-    n, m = x.shape
+    n = len(y)
+    by_text = lambda v: np.bincount(row, v[at], n)
+    by_term = lambda v: np.bincount(at, v[row], m)
+    each = lambda f, v: np.column_stack([f(v[:, j]) for j in range(k)])
     rng = np.random.default_rng(seed)
     params = np.concatenate([[bias], np.zeros(m), rng.normal(0, 0.05, m * k)])
     mean, spread = np.zeros_like(params), np.zeros_like(params)
     for t in range(1, rounds + 1):
         w, v = params[1:m + 1], params[m + 1:].reshape(m, k)
-        sums = x @ v
-        z = params[0] + x @ w + 0.5 * (sums ** 2 - x @ v ** 2).sum(axis=1)
+        sums = each(by_text, v) if k else np.zeros((n, 0))
+        z = params[0] + by_text(w - 0.5 * (v ** 2).sum(axis=1)) + 0.5 * (sums ** 2).sum(axis=1)
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        grad_v = x.T @ (error[:, None] * sums) - (x.T @ error)[:, None] * v
-        grad = np.concatenate([[error.sum()], x.T @ error + l2 * w, (grad_v + 4 * l2 * v).ravel()])
+        grad_w = by_term(error)
+        grad_v = each(by_term, error[:, None] * sums) if k else v
+        grad = np.concatenate([[error.sum()], grad_w + l2 * w,
+                               (grad_v - grad_w[:, None] * v + 4 * l2 * v).ravel()])
         mean, spread = 0.9 * mean + 0.1 * grad, 0.999 * spread + 0.001 * grad ** 2
         params -= rate * (mean / (1 - 0.9 ** t)) / (np.sqrt(spread / (1 - 0.999 ** t)) + 1e-9)
     return float(params[0]), params[1:m + 1], params[m + 1:].reshape(m, k)
@@ -135,9 +142,17 @@ def one_of_each(rows: list, labels, bands: int = 4, width: int = 6, seed: int =
     return [rows[i] for i in kept], [float(np.mean(votes[i]) >= 0.5) for i in kept]
 
 
+def _entries(at, starts, texts):
+    """(terms, texts) of the entries of ``texts``; those of text i are at[starts[i]:starts[i + 1]]."""
+    import numpy as np
+
+    sizes = starts[texts + 1] - starts[texts]
+    shift = starts[texts] - np.cumsum(sizes) + sizes
+    return at[np.arange(sizes.sum()) + np.repeat(shift, sizes)], np.repeat(texts, sizes)
+
+
 def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_documents: int = 5,
-        max_terms: int = 512, l2: float = 0.02, rounds: int = 300, rate: float = 0.05,
-        seed: int = 11) -> Machine:
+        l2: float = 0.02, rounds: int = 300, rate: float = 0.05, seed: int = 11) -> Machine:
     import numpy as np
 
     y = np.asarray(labels, dtype=np.float64)
@@ -158,43 +173,42 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
     at = at[use]
     del entries, use
 
-    def unlike_chance(expected, among) -> object:
-        """The signed root of the deviance of each term's toxic texts from ``expected``,
-        over the texts ``among``: about a standard normal where a term does not matter."""
-        use = among[row]
-        t = at[use]
+    starts = np.searchsorted(row, np.arange(len(rows) + 1))
+    of_term = np.argsort(at, kind="stable")
+    places = np.searchsorted(at[of_term], np.arange(len(terms) + 1))
+    texts_of = lambda t: row[of_term[places[t]:places[t + 1]]]
+
+    def unlike_chance(expected, among=None) -> object:
+        """The root of the deviance of each term's toxic texts from ``expected``, over
+        the texts ``among`` (or all): about the size of a standard normal where a term does
+        not matter."""
+        t, of = (at, row) if among is None else _entries(at, starts, among)
         n = np.bincount(t, minlength=len(terms))
-        seen, due = (np.bincount(t, v[row[use]], len(terms)) for v in (y, expected))
+        seen, due = (np.bincount(t, v[of], len(terms)) for v in (y, expected))
         with np.errstate(divide="ignore", invalid="ignore"):
             part = lambda o, d: np.where(o > 0, o * np.log(o / d), 0)
             z = np.sqrt(2 * np.maximum(part(seen, due) + part(n - seen, n - due), 0))
         return np.where(n >= min_documents, z, 0)
 
-    def dense(kept):
+    def machine(kept, k: int):
         place = np.full(len(terms), -1)
         place[kept] = np.arange(len(kept))
         use = place[at] >= 0
-        x = np.zeros((len(rows), len(kept)))
-        x[row[use], place[at[use]]] = 1
-        return x
-
-    everything = np.ones(len(rows), dtype=bool)
-    z = unlike_chance(np.full(len(y), prior), everything)
-    own = np.argsort(-z, kind="stable")[:max_terms // 2]
-    own = own[z[own] > strict]
+        found = row[use].astype(np.intp), place[at[use]]
+        return found, _adam(*found, len(kept), y, k, l2, rounds, rate, seed, bias)
+
+    own = np.flatnonzero(unlike_chance(np.full(len(y), prior)) > strict)
     if not len(own):
         return Machine(bits, bias, {}, *none)
-    x = dense(own)
-    b0, w0, _ = _adam(x, y, 0, l2, rounds, rate, seed, bias)
-    expected = 1 / (1 + np.exp(-np.clip(b0 + x @ w0, -30, 30)))
-    beside = np.zeros(len(terms))
-    for j in range(len(own)):
-        if x[:, j].sum() >= min_documents:
-            beside = np.maximum(beside, unlike_chance(expected, x[:, j] > 0))
-    beside[own] = 0
-    partners = np.argsort(-beside, kind="stable")[:max_terms - len(own)]
-    kept = np.concatenate([own, partners[beside[partners] > strict]])
-    fitted = _adam(dense(kept), y, k, l2, rounds, rate, seed, bias)
+    (texts, t), (b0, w0, _) = machine(own, 0)
+    z0 = b0 + np.bincount(texts, w0[t], len(y))
+    expected = 1 / (1 + np.exp(-np.clip(z0, -30, 30)))
+    beside = np.zeros(len(terms), dtype=bool)
+    for j in own:
+        beside |= unlike_chance(expected, texts_of(j)) > strict
+    beside[own] = True
+    kept = np.flatnonzero(beside)
+    fitted = machine(kept, k)[1]
     return Machine(bits, fitted[0], {int(t): i for i, t in enumerate(terms[kept])}, *fitted[1:])
 
 
@@ -220,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score_udf(spark: SparkSession, machine: Machine):
-    """text -> probability; the machine (at most ``max_terms`` rows) is broadcast."""
+    """text -> probability; the machine (one row a fitted bucket) is broadcast."""
     shared = spark.sparkContext.broadcast(machine)
 
     def batch(texts):

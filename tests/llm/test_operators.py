@@ -246,6 +246,20 @@ def test_machine_learns_words_and_pairs():
     assert toxicity.fit([], [], 20).bias < -100
 
 
+def test_machine_keeps_a_wide_vocabulary():
+    """Four hundred toxic terms beside four hundred that mark clean texts: all are kept."""
+    rng = random.Random(12)
+    rows, y = [], []
+    for i in range(4000):
+        toxic = i % 4 == 0
+        marks = rng.sample(range(400), 10) if toxic else rng.sample(range(400, 800), 20)
+        rows.append(sorted({*marks, *(rng.randrange(1000, 6000) for _ in range(20))}))
+        y.append(float(toxic))
+    m = toxicity.fit(rows, y, 20)
+    assert set(range(800)) <= set(m.rows)
+    assert min(m.weights[[m.rows[t] for t in range(400)]]) > 0
+
+
 def test_toxicity_on_rows(spark):
     rng = random.Random(2)
     words = [f"word{i}" for i in range(500)]
