@@ -9,8 +9,10 @@ The model is fitted on a bounded sample of labelled rows (``max_train_rows``,
 by a hash of the id, so it is repeatable), which reaches the driver as bucket
 numbers. Only buckets whose labels differ from chance get parameters: those whose
 share of toxic texts is further from the prior than chance explains (root of the
-deviance above ``strict``), and the partners of which the same holds beside one
-of them after the linear fit. All others stay at zero, so a long clean text
+deviance above ``strict``), the partners of which the same holds beside one of them
+after the linear fit, and both terms of any pair whose texts differ from the linear fit,
+whether or not the terms matter by themselves (``strict`` is raised for the number of
+pairs, so that chance passes as few pairs as single terms). All others stay at zero, so a long clean text
 gathers no noise; copies and near copies in the sample vote once. Weights and factors
 are then fitted together by full-batch Adam with L2.
 
@@ -197,9 +199,37 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
         found = row[use].astype(np.intp), place[at[use]]
         return found, _adam(*found, len(kept), y, k, l2, rounds, rate, seed, bias)
 
+    def in_pairs(expected) -> object:
+        """The terms of pairs whose texts differ from ``expected`` by more than chance among so
+        many pairs explains. Terms with the same texts count as one. A pair is first sought in
+        its toxic (then its clean) texts alone, whose summed surprise its deviance cannot exceed."""
+        marks = np.random.default_rng(seed).integers(0, 1 << 62, len(y), dtype=np.int64)
+        same = np.add.reduceat(marks[row[of_term]], places[:-1])
+        _, one, group = np.unique(same, return_index=True, return_inverse=True)
+        found = np.zeros(len(one), dtype=bool)
+        for side, chance in ((y > 0, expected), (y == 0, 1 - expected)):
+            cost = np.where(side, -np.log(chance), 0)
+            most = 2 * np.bincount(at, cost[row], len(terms))[one]
+            able = max(1.0, (np.count_nonzero(most > strict ** 2) - 1) / 2)
+            bound = strict ** 2 + 2 * np.log(able)  # of all these pairs as few as of the terms
+            sought = np.flatnonzero(most > bound)
+            place = np.full(len(terms), -1)
+            place[one[sought]] = np.arange(len(sought))
+            use = (place[at] >= 0) & side[row]
+            near, near_row = place[at[use]], row[use]
+            begin = np.searchsorted(near_row, np.arange(len(rows) + 1))
+            for a, g in enumerate(sought):
+                texts = texts_of(one[g])
+                b, of = _entries(near, begin, texts[side[texts]])
+                mates = np.flatnonzero(2 * np.bincount(b, cost[of], len(sought)) > bound)
+                mates = sought[mates[mates > a]]
+                if len(mates):
+                    mates = mates[unlike_chance(expected, texts)[one[mates]] > bound ** 0.5]
+                    found[mates] = True
+                    found[g] |= len(mates) > 0
+        return found[group]
+
     own = np.flatnonzero(unlike_chance(np.full(len(y), prior)) > strict)
-    if not len(own):
-        return Machine(bits, bias, {}, *none)
     (texts, t), (b0, w0, _) = machine(own, 0)
     z0 = b0 + np.bincount(texts, w0[t], len(y))
     expected = 1 / (1 + np.exp(-np.clip(z0, -30, 30)))
@@ -207,7 +237,9 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
     for j in own:
         beside |= unlike_chance(expected, texts_of(j)) > strict
     beside[own] = True
-    kept = np.flatnonzero(beside)
+    kept = np.flatnonzero(beside | in_pairs(expected))
+    if not len(kept):
+        return Machine(bits, bias, {}, *none)
     fitted = machine(kept, k)[1]
     return Machine(bits, fitted[0], {int(t): i for i, t in enumerate(terms[kept])}, *fitted[1:])
 

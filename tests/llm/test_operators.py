@@ -260,6 +260,43 @@ def test_machine_keeps_a_wide_vocabulary():
     assert min(m.weights[[m.rows[t] for t in range(400)]]) > 0
 
 
+def test_machine_learns_pairs_of_words_without_effect():
+    """6,000 texts, 11 percent toxic; two words of 400 texts each matter only in the 30 they share,
+    where all texts are toxic, and two others only in the 300 they share, where none is."""
+    rng = random.Random(13)
+    rows, y = [], []
+    for i in range(6000):
+        r = {rng.randrange(100, 3000) for _ in range(30)}
+        toxic = rng.random() < 0.11
+        if i < 400:
+            r.add(1)
+        if i < 30 or 400 <= i < 770:
+            r.add(2)
+        if i < 30:
+            toxic = True
+        if 1000 <= i < 1600:
+            r.add(3)
+        if 1000 <= i < 1300 or 1600 <= i < 1900:
+            r.add(4)
+        if 1000 <= i < 1300:
+            toxic = False
+        elif 1300 <= i < 1900:
+            toxic = rng.random() < 0.22
+        rows.append(sorted(r))
+        y.append(float(toxic))
+    m = toxicity.fit(rows, y, 20)
+    p = lambda t: 1 / (1 + np.exp(-toxicity.logit(
+        m.bias, *(a[[m.rows[i] for i in t if i in m.rows]] for a in (m.weights, m.factors)))))
+    for word in (1, 2, 3, 4):
+        seen = [y[i] for i, r in enumerate(rows) if word in r]
+        prior, share, n = np.mean(y), np.mean(seen), len(seen)
+        z = 2 * n * (share * np.log(share / prior) + (1 - share) * np.log((1 - share) / (1 - prior)))
+        assert z < 4.5 ** 2
+    assert {1, 2, 3, 4} <= set(m.rows) and len(m.rows) < 12
+    assert p([1, 2]) > 0.6 and max(p([1]), p([2])) < 0.25
+    assert p([3, 4]) < 0.05 and min(p([3]), p([4])) > 0.12
+
+
 def test_toxicity_on_rows(spark):
     rng = random.Random(2)
     words = [f"word{i}" for i in range(500)]
