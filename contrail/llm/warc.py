@@ -8,9 +8,10 @@ any file system that Spark knows hold for archives too.
 
 The reader checks each record: version line, header, length, record end, and
 the payload's SHA-1 against its header. After a failed check it searches
-for the next version line (in gzip files, the next member) at which a record
-passes all checks, goes on there, and logs the bytes between as a ``gap`` with the
-reason. One archive is parsed in one task, so archives are kept small
+for the next version line or gzip member, whatever the file began with, at which a
+record passes all checks, goes on there, and logs the bytes between as a ``gap`` with the
+reason. Of a damaged member the records that inflate before the damage are kept, and
+the member is logged as a gap as well. One archive is parsed in one task, so archives are kept small
 (``records_per_file``, fewer where payloads are large); payloads are handed on record by
 record.
 
@@ -37,8 +38,9 @@ from contrail.session import materialize, staging_path
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-VERSION = re.compile(rb"(?<![^\n])WARC/1\.[01]\r\n")
+VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MEMBER = b"\x1f\x8b\x08"
+CHUNK = 1 << 16
 ID = re.compile(r"<urn:page:(-?\d*)>")
 RECORD = ("file string, kind string, start bigint, end bigint, reason string, record_type string, "
           "record_id string, target_uri string, refers_to string, payload_digest string, "
@@ -170,39 +172,93 @@ def salvage_plain(data: bytes):
         yield _gap(start, at, reason)
 
 
-def _member(data: bytes, at: int):
-    """(contents, end) of the gzip member at ``at``, or (None, reason)."""
-    if data[at:at + 3] != MEMBER:
-        return None, "member magic"
-    inflate = zlib.decompressobj(31)
-    try:
-        out = inflate.decompress(memoryview(data)[at:])
-    except zlib.error:
-        return None, "member data"
-    return (out, len(data) - len(inflate.unused_data)) if inflate.eof else (None, "member end")
+def _inflated(data: bytes, at: int):
+    """(contents, end, place) of the gzip member at ``at``. Of a damaged one the contents are what
+    inflates before the damage, the end is None, and the place is that of the damage."""
+    out, inflate, view, begin, step = [], zlib.decompressobj(31), memoryview(data), at, CHUNK
+    careful = False
+    while at < len(data) and not inflate.eof:
+        before = inflate.copy() if careful else None
+        try:
+            out.append(inflate.decompress(view[at:at + step]))
+            at += step
+        except zlib.error:
+            if not careful:  # once more from the beginning, able to go back a step
+                out, inflate, at, careful = [], zlib.decompressobj(31), begin, True
+            elif step > 1:
+                inflate, step = before, step // 2
+            else:
+                return b"".join(out), None, at
+    at = min(at, len(data)) - len(inflate.unused_data)
+    return b"".join(out), at if inflate.eof else None, at
+
+
+def _place(data: bytes, at: int, size: int) -> int:
+    """The place by which ``size`` bytes of the member at ``at`` have been inflated."""
+    inflate, view, step = zlib.decompressobj(31), memoryview(data), CHUNK
+    while size > 0:
+        before = inflate.copy()
+        try:
+            more = len(inflate.decompress(view[at:at + step]))
+        except zlib.error:
+            more = size  # the damage is in these bytes, and after the place
+        if more >= size and step > 1:
+            inflate, step = before, step // 2
+        else:
+            at, size = at + step, size - more
+    return at
+
+
+def _reads(data: bytes, at: int) -> bool:
+    """Whether a record that passes all checks begins at ``at``, plain or in a member."""
+    if data.startswith(MEMBER, at):
+        return any(r["kind"] == "record" for r in salvage_plain(_inflated(data, at)[0]))
+    return _record(data, at)[0] is not None
+
+
+def _next(data: bytes, at: int) -> int:
+    """The next place from ``at`` on, a member's or a version line's, at which a record is read."""
+    n, member, version = len(data), -1, -1
+    while True:
+        if member < at:
+            member = data.find(MEMBER, at)
+            member = n if member < 0 else member
+        if version < at:
+            m = VERSION.search(data, at)
+            version = m.start() if m else n
+        place = min(member, version)
+        if place >= n or _reads(data, place):
+            return place
+        at = place + 1
 
 
-def salvage_gzip(data: bytes):
-    """The same for an archive of gzip members; places are those of the members."""
+def salvage(data: bytes):
+    """The records and gaps of an archive of plain records, gzip members or both, in order;
+    places of records in a member are those of the member."""
     at, n = 0, len(data)
     while at < n:
-        out, end = _member(data, at)
-        if out is not None:
-            for row in salvage_plain(out):
-                yield {**row, "start": at, "end": end}
-            at = end
+        start = at
+        if data.startswith(MEMBER, at):
+            out, end, damage = _inflated(data, at)
+            if end is not None:
+                for row in salvage_plain(out):
+                    yield {**row, "start": start, "end": end}
+                at = end
+                continue
+            kept = [r for r in salvage_plain(out) if r["kind"] == "record"]
+            # What stands before the end of its last whole record belongs to the member.
+            inner = _place(data, start, kept[-1]["end"]) if kept else start + 1
+            at = _next(data, inner)
+            yield from ({**r, "start": start, "end": at} for r in kept)
+            yield _gap(start, at, "member end" if damage >= n else "member data")
             continue
-        start, reason = at, end
-        while True:
-            at = data.find(MEMBER, at + 1)
-            at = n if at < 0 else at
-            if at >= n or _member(data, at)[0] is not None:
-                break
-        yield _gap(start, at, reason)
-
-
-def salvage(data: bytes):
-    return salvage_gzip(data) if data[:2] == MEMBER[:2] else salvage_plain(data)
+        record, end = _record(data, at)
+        if record:
+            yield {**record, "start": at, "end": end}
+            at = end
+        else:
+            at = _next(data, start + 1)
+            yield _gap(start, at, end)
 
 
 def _parse(with_payload: bool):

@@ -586,6 +586,66 @@ def test_warc_salvage(spark):
     assert list(warc.salvage(b"")) == []
 
 
+def plain_records(n):
+    rng = random.Random(14)
+    out = []
+    for i in range(n):
+        body = bytes(rng.choices(range(32, 127), k=300))
+        sha = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        out.append((f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{i}>\r\n"
+                    f"WARC-Payload-Digest: sha1:{sha}\r\nContent-Length: 300\r\n\r\n").encode()
+                   + body + b"\r\n\r\n")
+    return out
+
+
+def salvaged(data):
+    """Record numbers in order; that records and gaps cover the file is checked."""
+    rows = list(warc.salvage(data))
+    at = 0
+    for start, end in sorted({(r["start"], r["end"]) for r in rows}):
+        assert start == at < end
+        at = end
+    assert at == len(data)
+    return [int(r["record_id"][10:-1]) if r["kind"] == "record" else "gap" for r in rows]
+
+
+def test_warc_salvage_of_damaged_beginnings_and_mixed_files():
+    import gzip
+
+    plain = plain_records(5)
+    zipped = [gzip.compress(r) for r in plain]
+    whole = b"".join(zipped)
+    for place in (0, 1, 2):
+        broken = bytearray(whole)
+        broken[place] ^= 0x55
+        assert salvaged(bytes(broken)) == ["gap", 1, 2, 3, 4]
+    assert salvaged(b"junk" + whole) == ["gap", 0, 1, 2, 3, 4]
+    assert salvaged(b"junk" + b"".join(plain)) == ["gap", 0, 1, 2, 3, 4]
+    assert salvaged(plain[0] + zipped[1] + plain[2] + zipped[3]) == [0, 1, 2, 3]
+    assert salvaged(zipped[0] + plain[1] + zipped[2] + plain[3]) == [0, 1, 2, 3]
+    assert salvaged(plain[0][:-9] + zipped[1] + plain[2]) == ["gap", 1, 2]
+    assert salvaged(zipped[0][:-30] + zipped[1] + plain[2]) == ["gap", 1, 2]
+    assert salvaged(zipped[0][:-30] + plain[1]) == ["gap", 1]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_warc_salvage_within_damaged_members(level):
+    import gzip
+
+    plain = plain_records(2000)
+    one = gzip.compress(b"".join(plain), level)
+    for place in (-1, -8):  # the length, the checksum
+        broken = bytearray(one)
+        broken[place] ^= 1
+        assert salvaged(bytes(broken)) == [*range(2000), "gap"]
+    assert salvaged(one[:-1]) == [*range(2000), "gap"]
+    half = salvaged(one[:len(one) // 2])
+    assert half == [*range(len(half) - 1), "gap"] and 990 < len(half) < 1010
+    last = gzip.compress(b"".join(plain[1500:]), level)
+    got = salvaged(gzip.compress(b"".join(plain[:1500]), level)[:-4] + last[:-4])
+    assert got == [*range(1500), "gap", *range(1500, 2000), "gap"]
+
+
 # --- line dedup --------------------------------------------------------------------------
 
 
