@@ -7,8 +7,9 @@ postings, moved by the term's place in the window, name the diagonals on
 which the window may lie; the list of its second rarest term, moved likewise,
 is intersected with them; on the diagonals left the lists of all the window's
 terms are intersected, and runs of at least ``window`` consecutive places are
-the exact phrase matches. Proximity matches take the two rarest terms at up to
-``slop`` words from where the phrase has them.
+the exact phrase matches. Proximity matches take the window's two rarest terms that
+any text holds, at up to ``slop`` words from where the phrase has them; they
+are reported beside the exact ones and drop no text.
 
 All of it is DataFrame and SQL functions. Only the benchmark's terms are
 broadcast, and only while their number is within ``common.BROADCAST_ROWS``; beyond
@@ -76,10 +77,10 @@ def postings(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
                        "postings")
 
 
-def anchors(index: DataFrame, terms: DataFrame, window: int = 10) -> DataFrame:
-    """The windows' two rarest terms: item, item_id, w, place1, term1, place2, term2 and the
-    first and last window (its first place) that they stand for, staged. A window
-    with a term that no text holds is left out."""
+def anchors(index: DataFrame, terms: DataFrame, window: int = 10, whole: bool = True) -> DataFrame:
+    """The windows' two rarest terms that texts hold: item, item_id, w, place1, term1, place2,
+    term2 and the first and last window (its first place) that they stand for, staged. Left out
+    are windows with a term that no text holds, or (not ``whole``) with but one that any holds."""
     often = index.filter(F.col("term") != MARK).groupBy("term").agg(F.count("*").alias("tf"))
     w = F.least(F.col("size"), F.lit(window))
     starts = F.sequence(F.greatest(F.lit(0), F.col("place") - w + 1),
@@ -88,7 +89,7 @@ def anchors(index: DataFrame, terms: DataFrame, window: int = 10) -> DataFrame:
                                                 "tf", F.explode(starts).alias("start"))
                .groupBy("item", "item_id", "w", "start")
                .agg(F.array_sort(F.collect_list(F.struct("tf", "place", "term"))).alias("t"))
-               .filter(F.size("t") == F.col("w")))
+               .filter(F.size("t") >= (F.col("w") if whole else F.least("w", F.lit(2)))))
     second = F.when(F.col("w") > 1, F.col("t")[1])
     return materialize(windows.select(
         "item", "item_id", "w", "start", F.col("t")[0]["place"].alias("place1"),
@@ -138,15 +139,18 @@ def phrase_matches(index: DataFrame, terms: DataFrame, window: int = 10) -> Data
 
 def proximity_matches(index: DataFrame, terms: DataFrame, slop: int = 5,
                       window: int = 10) -> DataFrame:
-    """row, item, item_id, pos1, pos2, off: the two rarest terms of a window, the second
-    up to ``slop`` words from where the phrase has it (off 0: exactly there)."""
-    return _near(index, anchors(index, terms, window), slop).select(
+    """row, item, item_id, pos1, pos2, off: the two rarest terms of a window that texts hold, the
+    second up to ``slop`` words from where the phrase has it (off 0: exactly there)."""
+    near = _near(index, anchors(index, terms, window, whole=False), slop)
+    return near.filter(F.col("term2").isNull() | (F.col("pos") != F.col("pos2"))).select(
         "row", "item", "item_id", F.col("pos").alias("pos1"), "pos2", "off").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key, n_words, n_hit, item_ids (sorted text)."""
+                  id_col: str = "doc_id", text_col: str = "text",
+                  slop: int | None = 5) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_key, n_words, n_hit, item_ids (sorted text), and
+    near_ids, the items with a proximity match (not with ``slop`` None)."""
     vocabulary, terms = benchmark_terms(items)
     index = postings(docs, vocabulary, id_col, text_col)
     hits = phrase_matches(index, terms, window).select(
@@ -156,23 +160,28 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10,
                .groupBy("row").agg(F.count("*").alias("n_hit"), F.array_sort(F.array_distinct(
                    F.flatten(F.collect_set("ids")))).alias("item_ids")))
     texts = index.filter(F.col("term") == MARK).select("row", "doc_id", "text_key", "n_words")
-    return texts.join(by_text, "row", "left").select(
+    found, lists = texts.join(by_text, "row", "left"), ["item_ids"]
+    if slop is not None:
+        near = (proximity_matches(index, terms, slop, window).groupBy("row").agg(F.array_sort(
+            F.collect_set(F.col("item_id").cast("string"))).alias("near_ids")))
+        found, lists = found.join(near, "row", "left"), ["item_ids", "near_ids"]
+    return found.select(
         F.col("doc_id").alias(id_col), "text_key", F.col("n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+        *(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in lists))
 
 
 def contamination_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(
         F.col(id_col), "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"), F.size("near_ids").cast("bigint").alias("n_near"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a window of an item; columns as they were."""
-    bad = materialize(contamination(docs, items, window, id_col, text_col).filter("n_hit > 0")
+    bad = materialize(contamination(docs, items, window, id_col, text_col, slop=None).filter("n_hit > 0")
                       .select(F.col(id_col).alias("__id"), "text_key").distinct(), "contaminated")
     return docs.join(checked(bad), docs[id_col].eqNullSafe(bad["__id"])
                      & (text_hash(docs[text_col]) == bad["text_key"]), "left_anti")

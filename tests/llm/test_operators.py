@@ -464,6 +464,58 @@ def test_proximity(spark):
         (0, 0), (0, 1), (1, 0)}
 
 
+def brute_proximity(texts, items, slop, window=10):
+    texts = [(t or "").lower().split() for t in texts]
+    often = {}
+    for w in (w for t in texts for w in t):
+        often[w] = often.get(w, 0) + 1
+    out = set()
+    for item, text in items:
+        words = text.split()
+        n = min(window, len(words))
+        for s in range(len(words) - n + 1):
+            two = sorted((often[w], p, w) for p, w in enumerate(words[s:s + n], s) if w in often)[:2]
+            if len(two) < min(2, n):
+                continue
+            for i, t in enumerate(texts):
+                for a in (k for k, w in enumerate(t, 1) if w == two[0][2]):
+                    if n == 1:
+                        out.add((i, item, a, a, 0))
+                        continue
+                    for b in (k for k, w in enumerate(t, 1) if w == two[1][2] and k != a):
+                        off = b - a - (two[1][1] - two[0][1])
+                        if abs(off) <= slop:
+                            out.add((i, item, a, b, off))
+    return out
+
+
+def test_proximity_is_whole_and_reported(spark):
+    rng = random.Random(15)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choices([*words, "nowhere"], k=rng.choice([2, 6, 12, 20]))))
+             for i in range(15)]
+    items += [(50, "solo"), (51, "never seen"), (52, "w1 nowhere"), (53, "w2 w2 w2"),
+              (54, "alpha beta absent gamma")]
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(40)]
+    texts += ["x solo", "", None, "alpha beta changed gamma", "w2", items[3][1], items[4][1]]
+    texts = [t and t.replace("nowhere", "other") for t in texts]
+    docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id int, text string")
+    vocabulary, terms = decontaminate.benchmark_terms(bench)
+    index = decontaminate.postings(docs, vocabulary)
+    ids = index.filter(F.col("term") == 0).select("row", "doc_id")
+    near = decontaminate.proximity_matches(index, terms, slop=3).join(ids, "row").select(
+        "doc_id", "item_id", "pos1", "pos2", "off")
+    want = brute_proximity(texts, items, 3)
+    assert {tuple(r) for r in near.collect()} == want
+    assert (43, 54) in {w[:2] for w in want}
+    got = by_id(decontaminate.contamination(docs, bench, slop=3))
+    assert {(i, int(x)) for i, r in got.items() for x in r["near_ids"]} == {w[:2] for w in want}
+    assert got[43]["n_hit"] == 0 and "54" in got[43]["near_ids"]
+    assert all(set(r["item_ids"]) <= set(r["near_ids"]) for r in got.values())
+    digest = by_id(decontaminate.contamination_digest(decontaminate.contamination(docs, bench)))
+    assert digest[43]["n_near"] >= 1 and not digest[43]["contaminated"]
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 
