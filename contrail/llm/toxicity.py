@@ -41,7 +41,7 @@ from contrail.session import materialize
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BEGINNINGS = (4, 5, 6, 7)  # bytes
 THRESHOLD = 0.3
-MAX_TRAIN_ROWS = 6_000
+MAX_TRAIN_ROWS = 8_000
 CACHE = 500_000
 
 
@@ -253,6 +253,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     known = (labels.filter(F.col(label_col).isNotNull() & learnable(F.col(id_col)))
              .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col)).alias("__y")))
+    # Labels of ids that docs lacks take no places of the sample.
+    there = docs.select(docs[id_col].alias("__id")).distinct()
+    known = materialize(known.join(there, "__id", "left_semi"), "labelled")
     sample = materialize(known.filter(hash_below(max_train_rows, known.count(), F.col("__id"))),
                          "sample")
     # The sample is bounded and counted, so no text is shuffled to meet it.

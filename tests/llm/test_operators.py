@@ -317,6 +317,21 @@ def test_toxicity_on_rows(spark):
     assert {(r["score"], r["predicted"]) for r in none.collect()} == {(0.0, 0)}
 
 
+def test_toxicity_sample_is_of_documents_there(spark):
+    """20,000 labels, 400 documents: all 300 or so that may be learned from are in the sample."""
+    texts = [f"text number {i} {'scum' if i % 5 == 0 else 'fine'}" for i in range(400)]
+    lab = spark.range(20_000).selectExpr("cast(id as int) doc_id", "cast(id % 5 = 0 as int) toxic")
+    learn = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    sizes = []
+    one_of_each = toxicity.one_of_each
+    try:
+        toxicity.one_of_each = lambda rows, y: (sizes.append(len(rows)), one_of_each(rows, y))[1]
+        toxicity.train(documents(spark, texts), lab, max_train_rows=1000)
+    finally:
+        toxicity.one_of_each = one_of_each
+    assert sizes == [len(learn)]
+
+
 def test_language(spark):
     rng = random.Random(4)
     stems = {"en": ["the", "house", "water", "walking"], "de": ["der", "hauses", "straße", "gehend"]}
