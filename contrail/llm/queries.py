@@ -10,6 +10,7 @@ from contrail.llm import (
     pii,
     secrets,
     simhash,
+    tokenalign,
     topk,
     toxicity,
     warc,
@@ -63,7 +64,12 @@ def op10_line_dedup(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_tokenizer_alignment(spark, sf_dir):
+    return tokenalign.alignment_digest(tokenalign.align(
+        table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_exact_topk, op3_simhash_dedup, op4_toxicity, op5_language_id,
     op6_personal_data, op7_decontamination, op8_source_mixing, op9_warc_round_trip,
-    op10_line_dedup)}
+    op10_line_dedup, op13_tokenizer_alignment)}
