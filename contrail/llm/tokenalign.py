@@ -49,8 +49,10 @@ MADE = (*COUNTS, "n_best", "count_sum", "groups")
 #: Counted pairs, 17 bytes each, that are sent to every worker.
 BROADCAST_PAIRS = 2_000_000
 #: Pieces that a worker remembers (twice as many at most), and the longest in characters.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 LEARNED = 10_000
+#: Rows scored at once.
+SCORED_ROWS = 500
 FLUSH_BYTES = 4 << 20
 B_MASK = (1 << 32) - 1
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -358,13 +360,17 @@ def _score_udf(shared):
         import pyarrow as pa
 
         keys, counts, best = shared.value
-        n = np.asarray(times.flatten())
-        at = np.searchsorted(keys, np.asarray(pairs.flatten()))
-        ends = np.concatenate([[0], np.cumsum(np.asarray(pairs.value_lengths()))])
-        sums = [np.concatenate([[0], np.cumsum(n * x[at])]) for x in (best.astype(np.int64), counts)]
-        return pa.StructArray.from_arrays(
-            [pa.array(s[ends[1:]] - s[ends[:-1]], pa.int64()) for s in sums],
-            ["n_best", "count_sum"])
+        n_best, total = (np.zeros(len(pairs), np.int64) for _ in range(2))
+        for start in range(0, len(pairs), SCORED_ROWS):
+            own = pairs.slice(start, SCORED_ROWS)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(own.value_lengths()))])
+            n = np.asarray(times.slice(start, SCORED_ROWS).flatten()).astype(np.int64)
+            at = np.searchsorted(keys, np.asarray(own.flatten()))
+            for out, value in ((n_best, best), (total, counts)):
+                sums = np.concatenate([[0], np.cumsum(n * value[at])])
+                out[start:start + len(own)] = sums[ends[1:]] - sums[ends[:-1]]
+        return pa.StructArray.from_arrays([pa.array(n_best), pa.array(total)],
+                                          ["n_best", "count_sum"])
 
     return arrow_udf(score, "n_best bigint, count_sum bigint")
 
