@@ -49,11 +49,37 @@ places AS (
   SELECT r, count(DISTINCT item_id) AS n_items,
          string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
   FROM met GROUP BY r
-)
+), bw AS (  -- proximity: the two rarest terms of each window that texts hold
+  SELECT item, item_id, size, place - 1 AS place, w[place] AS word
+  FROM (SELECT row_number() OVER () AS item, item_id, w, len(w) AS size,
+               unnest(generate_series(1, len(w))) AS place FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, pos, w[pos] AS word
+  FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS pos FROM d WHERE len(w) > 0)
+  WHERE w[pos] IN (SELECT word FROM bw)
+), tf AS (SELECT word, count(*) AS n FROM dw GROUP BY word),
+ranked AS (
+  SELECT item, item_id, least(size, 10) AS n_window, s, place, word,
+         row_number() OVER (PARTITION BY item, s ORDER BY n, place) AS k
+  FROM (SELECT *, unnest(generate_series(greatest(0, place - least(size, 10) + 1),
+                                         least(place, size - least(size, 10)))) AS s
+        FROM bw JOIN tf USING (word))
+), pairs AS (
+  SELECT DISTINCT x.item_id, x.n_window, x.word AS word1, x.place AS place1, y.word AS word2,
+         y.place AS place2
+  FROM ranked x LEFT JOIN ranked y ON x.item = y.item AND x.s = y.s AND y.k = 2
+  WHERE x.k = 1
+), near AS (
+  SELECT r, item_id FROM pairs JOIN dw ON dw.word = word1 WHERE n_window = 1
+  UNION
+  SELECT d1.r, item_id FROM pairs JOIN dw d1 ON d1.word = word1
+  JOIN dw d2 ON d2.word = word2 AND d2.r = d1.r
+  WHERE d2.pos <> d1.pos AND abs(d2.pos - d1.pos - (place2 - place1)) <= 5
+), nears AS (SELECT r, count(DISTINCT item_id::VARCHAR) AS n_near FROM near GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r) LEFT JOIN nears USING (r)
 """
 
 WARC = """

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from contrail.llm import (
+    convrepair,
     decontaminate,
+    kdshard,
     langid,
     linededup,
     mixing,
@@ -64,6 +66,14 @@ def op10_line_dedup(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return convrepair.repair_report(convrepair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_kd_sharding(spark, sf_dir):
+    return kdshard.shard_report(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark, sf_dir):
     return tokenalign.alignment_digest(tokenalign.align(
         table(spark, sf_dir, "documents"), keep=["doc_id"]))
@@ -72,4 +82,4 @@ def op13_tokenizer_alignment(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_exact_topk, op3_simhash_dedup, op4_toxicity, op5_language_id,
     op6_personal_data, op7_decontamination, op8_source_mixing, op9_warc_round_trip,
-    op10_line_dedup, op13_tokenizer_alignment)}
+    op10_line_dedup, op11_conversation_repair, op12_kd_sharding, op13_tokenizer_alignment)}

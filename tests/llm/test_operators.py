@@ -779,5 +779,6 @@ def test_queries_on_tables(spark):
         got = QUERIES[name](spark, sf)
         rows = con.execute(sql)
         names = [d[0] for d in rows.description]
+        assert sorted(names) == sorted(got.columns), name
         assert sorted(map(str, rows.fetchall())) == sorted(
             str(tuple(r[n] for n in names)) for r in got.collect()), name
