@@ -83,7 +83,6 @@ def metadata(docs: DataFrame, keep: list[str], text_col: str = "text",
 def _nodes(rows: DataFrame) -> DataFrame:
     """The nodes with several leaves: their goal (bytes left of the cut), widest dimension, and
     the whole range to search."""
-    n = F.size("places")
     ranges = rows.filter("leaves > 1").select("shard", "leaves", "size", F.posexplode("places"))
     spans = ranges.groupBy("shard", "leaves", "pos").agg(
         F.sum("size").alias("bytes"), F.min("col").alias("lo"), F.max("col").alias("hi"),
