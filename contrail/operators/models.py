@@ -91,7 +91,7 @@ def grid_search(train: DataFrame, label: str, features: str = "features", *,
                 elastic_net: Sequence[float] = GRID_ELASTIC_NET,
                 num_folds: int = 3, fold_col: str | None = None, seed: int = 123,
                 parallelism: int = 2, prediction: str = DEFAULT_PREDICTION,
-                stage: bool = True):
+                stage: bool = True, keep_models: bool = False):
     """3-fold CV of linear regression over regParam x elasticNetParam on RMSE.
 
     Runs on the training side only. With ``fold_col`` (e.g. from
@@ -101,7 +101,8 @@ def grid_search(train: DataFrame, label: str, features: str = "features", *,
     every solver iteration then reads that table instead of re-deriving the
     features through the whole upstream plan, and the lineage is cut; the
     staged table is removed after fitting (with ``stage=False`` the best
-    model's training summary can still read its input). Returns
+    model's training summary can still read its input). ``keep_models`` keeps every
+    fold's fits in ``cv_model.subModels`` (coefficients only). Returns
     ``(cv_model, table)`` where table is ``(regParam, elasticNetParam,
     avg_rmse, is_best)``; of ties the first grid point is the best.
     """
@@ -114,7 +115,8 @@ def grid_search(train: DataFrame, label: str, features: str = "features", *,
     evaluator = RegressionEvaluator(labelCol=label, predictionCol=prediction,
                                     metricName="rmse")
     kwargs = dict(estimator=lr, estimatorParamMaps=grid, evaluator=evaluator,
-                  numFolds=num_folds, seed=seed, parallelism=parallelism)
+                  numFolds=num_folds, seed=seed, parallelism=parallelism,
+                  collectSubModels=keep_models)
     if fold_col:
         kwargs["foldCol"] = fold_col
     spark = train.sparkSession

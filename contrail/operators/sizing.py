@@ -27,7 +27,26 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def _bytes(text: str) -> int:
+    """A size setting such as ``128MB``, ``16m`` or ``134217728b`` in bytes."""
+    number = text.strip().lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:], 0)
+    return int(number[:-1] if unit else number) << unit
+
+
+def scan_partitions(spark, n_bytes: int, n_files: int) -> int:
+    """How many partitions Spark's file scan deals such files into, without planning it."""
+    conf = spark.conf.get
+    most = _bytes(conf("spark.sql.files.maxPartitionBytes", "128m"))
+    opened = _bytes(conf("spark.sql.files.openCostInBytes", "4m"))
+    cores = int(conf("spark.sql.files.minPartitionNum", None)
+                or spark.sparkContext.defaultParallelism)
+    split = max(1, min(most, max(opened, (n_bytes + n_files * opened) // max(1, cores))))
+    pieces = max(n_files, -(-n_bytes // split))
+    return max(1, min(pieces, -(-(n_bytes + pieces * opened) // split)))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, have: int | None = None) -> DataFrame:
     """Re-distribute a scan that arrives in fewer partitions than the cluster
     has cores (e.g. one large single-row-group file); a no-op for wide
     inputs, so at scale it adds no shuffle.
@@ -35,10 +54,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Rows are hash-partitioned on ALL their columns: deterministic on task
     retry (unlike an unsorted round-robin), no sort (unlike Spark's
     round-robin), and a single hot key value does not land in one partition.
+    ``have`` is the number of partitions, where the caller knows it: else the plan is asked.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
+        have = df.rdd.getNumPartitions() if have is None else have
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
     if have < want:

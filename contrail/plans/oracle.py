@@ -6,6 +6,8 @@ oracle pulls in the ones it needs.
 
 from __future__ import annotations
 
+from contrail.plans.derived import wide_columns
+
 TRIPS_COLUMNS = ("yr", "mo", "row_key", "carrier", "origin", "dest", "dep_hhmm",
                  "arr_hhmm", "sparse_col", "const_col", "distance", "elapsed", "delay")
 NUMERIC = ("yr", "mo", "dep_hhmm", "arr_hhmm", "distance", "elapsed", "delay")
@@ -120,10 +122,10 @@ def _corr_pairs(cols=NUMERIC, source: str = "typed") -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _index_counts(source: str) -> str:
+def _index_counts(source: str, cols=PLACES) -> str:
     counts = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n_rows FROM {source} GROUP BY {c}"
-        for c in PLACES)
+        for c in cols)
     return (f"SELECT column_name, value, CAST(row_number() OVER (PARTITION BY column_name "
             f"ORDER BY n_rows DESC, value) - 1 AS DOUBLE) AS idx, n_rows FROM ({counts})")
 
@@ -153,6 +155,74 @@ SELECT regParam, round(avg(rmse), 4) AS avg_rmse,
             "% 3 AS fold FROM split_typed WHERE is_train)")
 
 
+# The elastic net in two variables: of the nine patterns of signs the one whose closed form has
+# those signs, and whose zero coefficients meet |covariance with the residual| <= penalty.
+ELASTIC_NET = """
+SELECT regParam, elasticNetParam, round(avg(rmse), 4) AS avg_rmse,
+       avg(rmse) = min(avg(rmse)) OVER () AS is_best,
+       CAST(3 AS BIGINT) AS n_fits, CAST(0 AS BIGINT) AS n_violations FROM (
+  SELECT regParam, elasticNetParam, fold, sqrt(avg((avg_y + b1 * sy / s1 * (t.distance - avg_x1)
+           + b2 * sy / s2 * (t.mo - avg_x2) - t.delay) ^ 2)) AS rmse
+  FROM (
+    SELECT regParam, elasticNetParam, fold, any_value(b1) AS b1, any_value(b2) AS b2,
+      any_value(s1) AS s1, any_value(s2) AS s2, any_value(sy) AS sy, any_value(avg_x1) AS avg_x1,
+      any_value(avg_x2) AS avg_x2, any_value(avg_y) AS avg_y
+    FROM (
+      SELECT *, CASE WHEN e1 = 0 THEN 0 WHEN e2 = 0 THEN (c1 - l1 * e1) / d
+                ELSE (d * (c1 - l1 * e1) - r * (c2 - l1 * e2)) / (d * d - r * r) END AS b1,
+             CASE WHEN e2 = 0 THEN 0 WHEN e1 = 0 THEN (c2 - l1 * e2) / d
+                ELSE (d * (c2 - l1 * e2) - r * (c1 - l1 * e1)) / (d * d - r * r) END AS b2
+      FROM (
+        SELECT *, regParam / sy * elasticNetParam AS l1,
+               1 + regParam / sy * (1 - elasticNetParam) AS d
+        FROM (
+          SELECT f AS fold, stddev_pop(distance) AS s1, stddev_pop(mo) AS s2,
+            stddev_pop(delay) AS sy, corr(distance, mo) AS r, corr(distance, delay) AS c1,
+            corr(mo, delay) AS c2, avg(distance) AS avg_x1, avg(mo) AS avg_x2,
+            avg(delay) AS avg_y
+          FROM folds, range(3) r(f) WHERE fold <> f GROUP BY f),
+        (SELECT unnest([0.01, 0.1, 0.5])::DOUBLE AS regParam),
+        (SELECT unnest([0.0, 0.5, 1.0])::DOUBLE AS elasticNetParam)),
+      (SELECT unnest([-1, 0, 1]) AS e1), (SELECT unnest([-1, 0, 1]) AS e2))
+    WHERE sign(b1) = e1 AND sign(b2) = e2
+      AND (e1 <> 0 OR abs(c1 - r * b2) <= l1) AND (e2 <> 0 OR abs(c2 - r * b1) <= l1)
+    GROUP BY regParam, elasticNetParam, fold
+  ) m JOIN folds t USING (fold) GROUP BY regParam, elasticNetParam, fold
+) GROUP BY regParam, elasticNetParam
+""".replace("folds", "(SELECT *, (('0x' || substr(md5('124|' || row_key), 1, 7))::BIGINT % 10000) "
+            "% 3 AS fold FROM split_typed WHERE is_train)")
+
+# The split of the least squared error: sums up to each distinct value of a feature, the
+# threshold half way to the next.
+STUMP = """
+SELECT feature, threshold, round(sl / nl, 4) AS left_mean,
+       round((s - sl) / (n - nl), 4) AS right_mean FROM (
+  SELECT feature, (v + lead(v) OVER along) / 2.0 AS threshold,
+    sum(n) OVER along AS nl, sum(s) OVER along AS sl,
+    sum(n) OVER (PARTITION BY feature) AS n, sum(s) OVER (PARTITION BY feature) AS s
+  FROM (SELECT 'distance' AS feature, distance AS v, count(*)::DOUBLE AS n, sum(delay)::DOUBLE AS s
+        FROM split_typed WHERE is_train GROUP BY distance
+        UNION ALL SELECT 'mo', mo, count(*)::DOUBLE, sum(delay)::DOUBLE
+        FROM split_typed WHERE is_train GROUP BY mo)
+  WINDOW along AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)
+) WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1
+"""
+
+
+def _corr_wide(columns: dict[str, str]) -> str:
+    """Both triangles and the diagonal, from one aggregate of all pairs."""
+    names = list(columns)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    lists = {"i": (i for i, _ in pairs), "j": (j for _, j in pairs),
+             "r": (f"corr({names[i]}, {names[j]})" for i, j in pairs)}
+    one = ", ".join(f"unnest([{', '.join(map(str, v))}]) AS {k}" for k, v in lists.items())
+    wide = "SELECT " + ", ".join(f"{v} AS {c}" for c, v in columns.items()) + " FROM lineitem"
+    return (f"WITH p AS (SELECT {one} FROM ({wide})) "
+            "SELECT 'c' || i AS var_a, i AS pos_a, 'c' || j AS var_b, j AS pos_b, round(r, 6) AS corr "
+            "FROM (SELECT i, j, r FROM p UNION ALL SELECT j, i, r FROM p UNION ALL "
+            f"SELECT k, k, 1.0 FROM (SELECT unnest(generate_series(0, {len(names) - 1}))::INT AS k))")
+
+
 def _flow_report(numeric: bool) -> str:
     """Counts and dropped columns of a flow over rows delivered twice. Which columns are
     sparse, constant, text or listed as correlated follows from how ``trips`` is made."""
@@ -281,6 +351,15 @@ def oracles() -> dict[str, str]:
         f"SELECT var_b, pos_b FROM ({high})"))
     q["drop_correlated"] = with_(["typed"], f"SELECT {_cols(TRIPS_COLUMNS, ('elapsed',))} FROM typed")
     q["string_index"] = with_(["no_null_rows"], _index_counts("no_null_rows"))
+    q["string_index_table"] = with_(["no_null_rows"], _index_counts(
+        "no_null_rows", (*PLACES, "row_key")))
+    q["corr_wide"] = _corr_wide(wide_columns())
+    q["rf_stump"] = with_(["split_typed"], STUMP)
+    q["cv_certificate"] = with_(["split_typed"], ELASTIC_NET)
+    q["model_round_trip"] = with_(["no_null_rows"], (
+        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differing, CAST(0 AS BIGINT) AS n_null "
+        "FROM no_null_rows WHERE "
+        "('0x' || substr(md5('123|' || row_key), 1, 7))::BIGINT >= 0.8 * 268435456"))
     q["one_hot"] = with_(["no_null_rows"], (
         "SELECT column_name, value, idx, CAST(k - 1 AS INTEGER) AS vec_size, "
         "CASE WHEN idx < k - 1 THEN CAST(idx AS INTEGER) END AS hot_pos, n_rows FROM ("

@@ -23,6 +23,12 @@ from contrail.operators.clean import (
     replace_null_tokens,
     times_to_minutes,
 )
+from contrail.operators.certificates import (
+    elastic_net_certificate,
+    fitted_models,
+    forest_table,
+    training_moments,
+)
 from contrail.operators.enrich import missing_key_count, missing_keys, role_join
 from contrail.operators.features import (
     INDEX_SUFFIX,
@@ -34,6 +40,12 @@ from contrail.operators.features import (
     model_pipeline,
     string_index,
 )
+from contrail.operators.model_store import (
+    differing_rows,
+    load_model,
+    save_model,
+    score_both,
+)
 from contrail.operators.models import (
     coefficients_frame,
     fit_forest,
@@ -49,6 +61,7 @@ from contrail.operators.profile import (
     null_profile,
     zero_count,
 )
+from contrail.operators.ranking import string_index_table
 from contrail.operators.split import fold_column, hash_bucket, random_split, split_label
 from contrail.operators.stats import (
     corr_matrix,
@@ -57,12 +70,13 @@ from contrail.operators.stats import (
     high_corr_pairs,
     trend,
 )
+from contrail.operators.wide_corr import corr_wide
 from contrail.plans.config import TRIPS_CONFIG
+from contrail.plans.derived import wide_columns
 from contrail.plans.flows import run_categorical, run_numeric
-from contrail.operators.sizing import spread
 from contrail.session import materialize, staging_path
 from contrail.sources.files import merge_inputs, scan_csv, scan_dimension
-from contrail.sources.tables import TRIPS_COLUMNS, load_table, trips, trips_text
+from contrail.sources.tables import TRIPS_COLUMNS, load_table, spread_table, trips, trips_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +84,8 @@ NUMERIC = ("yr", "mo", "dep_hhmm", "arr_hhmm", "distance", "elapsed", "delay")
 PLACES = ("carrier", "origin", "dest")
 TIMES = ("dep_hhmm", "arr_hhmm")
 LR_FEATURES = ("distance", "mo")
+#: Columns that the index as a table is built for: few categories, and one a row.
+INDEXED = (*PLACES, "row_key")
 
 
 def _r(c, places: int = 6):
@@ -191,9 +207,9 @@ def q_duplicate_count(spark, d):
 
 
 def q_tolerant_int(spark, d):
-    li = spread(load_table(spark, d, "lineitem").select(
+    li = spread_table(spark, d, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag"))
+        "l_discount", "l_returnflag"])
     text = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.col("l_quantity").cast("string").alias("qty"),
@@ -320,6 +336,14 @@ def q_drop_correlated(spark, d):
     return drop_correlated(typed, auto=True, candidates=list(NUMERIC), keep=["delay"])
 
 
+def q_corr_wide(spark, d):
+    columns = wide_columns()
+    rows = spread_table(spark, d, "lineitem", [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
+    wide = rows.select(*[F.expr(v).alias(c) for c, v in columns.items()])
+    return corr_wide(wide, list(columns)).withColumn("corr", _r(F.col("corr")))
+
+
 # ---------------------------------------------------------------- features
 
 def _index_long(df, cols, value_suffix=INDEX_SUFFIX):
@@ -334,6 +358,13 @@ def q_string_index(spark, d):
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def q_string_index_table(spark, d):
+    """The index without labels on the driver, also of a column with a category a row."""
+    indexed, _ = string_index_table(_staged_rows(spark, d).select(*INDEXED), INDEXED)
+    return (_index_long(indexed, INDEXED).groupBy("column_name", "value", "idx")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def q_one_hot(spark, d):
     from pyspark.ml.functions import vector_to_array
     base = _staged_rows(spark, d)
@@ -436,17 +467,58 @@ def q_cv_ridge(spark, d):
     return table.select("regParam", _r(F.col("avg_rmse"), 4).alias("avg_rmse"), "is_best")
 
 
-def q_ml_stages(spark, d):
-    from pyspark.ml.regression import LinearRegression
+def q_cv_certificate(spark, d):
+    """All nine grid points: the average error, and the terms of their 27 fits that miss the
+    optimality conditions of the elastic net."""
+    folds = materialize(_folds(spark, d), "cv-input")
+    model, table = grid_search(folds, "delay", fold_col="fold", parallelism=9, stage=False,
+                               keep_models=True)
+    moments = training_moments(folds, "delay", LR_FEATURES, "fold", 3)
+    proof = elastic_net_certificate(moments, fitted_models(spark, model), LR_FEATURES)
+    point = ["regParam", "elasticNetParam"]
+    found = proof.groupBy(*point).agg(F.count_distinct("fold").alias("n_fits"),
+                                      F.count_if("violated").alias("n_violations"))
+    return table.join(found, point).select(*point, _r(F.col("avg_rmse"), 4).alias("avg_rmse"),
+                                           "is_best", "n_fits", "n_violations")
+
+
+def q_rf_stump(spark, d):
+    """One tree of depth 1 on all rows and features: its split is the best there is."""
+    train, _ = _lr_parts(spark, d)
+    forest = fit_forest(train, "delay", num_trees=1, seed=123, bootstrap=False, maxDepth=1,
+                        maxBins=64, featureSubsetStrategy="all")
+    nodes = forest_table(spark, forest, LR_FEATURES)
+    mean = lambda n: _r(F.max(F.when(F.col("node") == n, F.col("prediction"))), 4)
+    return nodes.agg(F.max("feature").alias("feature"), F.max("threshold").alias("threshold"),
+                     mean(2).alias("left_mean"), mean(3).alias("right_mean"))
+
+
+def _ml_parts(spark, d):
+    """The training and test rows that the ML pipeline is fitted and scored on, staged."""
     typed = _no_null_rows(spark, d)
     typed = materialize(cast_columns(
         typed, [c for c in NUMERIC if c in typed.columns], "int").withColumn(
         "_split", split_label(["row_key"], (0.8, 0.2), 123)), "ml-input")
+    return typed.filter("_split = 0"), typed.filter("_split = 1")
+
+
+def q_model_round_trip(spark, d):
+    """The fitted pipeline stored in the shared folder, loaded and compared row by row."""
+    from pyspark.ml.regression import LinearRegression
+    train, test = _ml_parts(spark, d)
+    lr = LinearRegression(featuresCol="features", labelCol="delay")
+    model = model_pipeline(list(PLACES), ["yr", "mo", "distance"], lr).fit(train)
+    again = load_model(save_model(spark, model))
+    return differing_rows(score_both(test, model, again, "row_key"))
+
+
+def q_ml_stages(spark, d):
+    from pyspark.ml.regression import LinearRegression
+    train, test = _ml_parts(spark, d)
     lr = LinearRegression(featuresCol="features", labelCol="delay")
     pipe = model_pipeline(list(PLACES), ["yr", "mo", "distance"], lr)
-    model = pipe.fit(typed.filter("_split = 0"))
-    pred = model.transform(typed.filter("_split = 1"))
-    return regression_metrics(pred, "delay")
+    model = pipe.fit(train)
+    return regression_metrics(model.transform(test), "delay")
 
 
 def q_categorical_flow(spark, d):
@@ -521,10 +593,12 @@ QUERIES: dict[str, Query] = {
     "trend_fallback": q_trend_fallback,
     "corr_matrix": q_corr_matrix,
     "corr_matrix_nulls": q_corr_matrix_nulls,
+    "corr_wide": q_corr_wide,
     "high_corr_pairs": q_high_corr_pairs,
     "high_corr_columns": q_high_corr_columns,
     "drop_correlated": q_drop_correlated,
     "string_index": q_string_index,
+    "string_index_table": q_string_index_table,
     "one_hot": q_one_hot,
     "assemble": q_assemble,
     "min_max_scale": q_min_max_scale,
@@ -536,8 +610,11 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": q_regression_metrics,
     "rf_predict": q_rf_predict,
     "rf_bounds": q_rf_bounds,
+    "rf_stump": q_rf_stump,
     "cv_grid": q_cv_grid,
     "cv_ridge": q_cv_ridge,
+    "cv_certificate": q_cv_certificate,
+    "model_round_trip": q_model_round_trip,
     "ml_stages": q_ml_stages,
     "categorical_flow": q_categorical_flow,
     "numeric_flow": q_numeric_flow,

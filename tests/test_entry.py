@@ -42,7 +42,8 @@ def _norm(v):
                                   "duplicate_count", "missing_keys", "row_counts",
                                   "dimension_scan", "corr_matrix_nulls", "random_split_check",
                                   "rf_bounds", "cv_ridge", "categorical_flow_report",
-                                  "numeric_flow_report"])
+                                  "numeric_flow_report", "string_index_table", "rf_stump",
+                                  "cv_certificate", "model_round_trip", "corr_wide"])
 def test_oracle_agrees_small(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)

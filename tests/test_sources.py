@@ -45,3 +45,37 @@ def test_several_paths_align_by_header(spark, tmp_path):
         (tmp_path / name).write_text(body)
     df = scan_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
     assert sorted((r.x, r.y) for r in df.collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_trips_plan_follows_its_files(spark, tmp_path):
+    """The plan is kept while the files stay as they are, and made anew when they change."""
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from contrail.sources.tables import table_files, trips
+    from tests.conftest import SF_SMALL
+
+    for name in ("nation", "customer", "supplier", "orders", "lineitem"):
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", tmp_path)
+    first = trips(spark, str(tmp_path))
+    assert trips(spark, str(tmp_path)) is first
+    n = first.count()
+    few = pq.read_table(f"{tmp_path}/lineitem.parquet").slice(0, 100)
+    before = table_files(spark, f"{tmp_path}/lineitem.parquet")
+    pq.write_table(few, f"{tmp_path}/lineitem.parquet")
+    assert table_files(spark, f"{tmp_path}/lineitem.parquet") != before
+    again = trips(spark, str(tmp_path))
+    assert again is not first and again.count() == 100 != n
+
+
+def test_scan_partitions_is_what_spark_plans(spark):
+    from contrail.operators.sizing import scan_partitions
+    from contrail.sources.tables import load_files, table_files
+    from tests.conftest import SF_SMALL
+
+    for name in ("nation", "lineitem", "documents"):
+        files = table_files(spark, f"{SF_SMALL}/{name}.parquet")
+        assert files.n_files == 1
+        assert scan_partitions(spark, files.n_bytes, 1) == load_files(
+            spark, files).rdd.getNumPartitions()
