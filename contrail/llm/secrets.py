@@ -5,11 +5,19 @@ value of 8 or more characters), ``access`` (an access key id of 16 or more)
 and ``hex`` (32 or more hexadecimal digits). Two further kinds are reported
 only after the bytes behind the characters have been decoded and parsed:
 
-``key``  base64, hex or a PEM block that decodes to a private key: DER whose
-         nested lengths fill the bytes exactly and whose members are those of
-         PKCS#1, PKCS#8, SEC1 or DSA, or the length-prefixed OpenSSH format;
+``key``  base64 (also wrapped over lines, or of a whole PEM block), hex (also
+         with colons) or a PEM block (also without its last line) that decodes to
+         a private key: DER whose nested lengths fill the bytes exactly and whose
+         members are those of PKCS#1, PKCS#8, SEC1 or DSA, or the length-prefixed
+         OpenSSH format;
 ``jwt``  a signed token whose header decodes to a JSON object naming ``alg``
-         and whose payload decodes to a JSON object.
+         and whose payload decodes to a JSON object. It begins where no character
+         of a token stands before, or behind an escaped line end.
+
+A wrapped key's own length says how many characters it has, so what follows on the next
+line does not matter; keys of more than ``MAX_KEY`` bytes, which no encoding in use
+reaches, are sought on one line only. Every pattern is possessive and begins at
+the edge of a run, so the time is in proportion to the text.
 
 Defined results: a NULL or empty text has no spans; repeated rows are scanned
 each on their own; a NULL id is kept; extra input columns are ignored; an empty
@@ -38,14 +46,31 @@ ASSIGN = re.compile(rb"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\
                     rb"([a-z0-9+/_.=-]+)")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(rb"[0-9a-f]{32,}")
-BASE64_KEY = re.compile(rb"(?:M[A-Za-z0-9+/_-]{31,}|b3BlbnNzaC1rZXkt[A-Za-z0-9+/_-]{24,})={0,2}")
-HEX_KEY = re.compile(rb"(?:30|6[fF]70656[eE]7373682[dD]6[bB]65792[dD])[0-9a-fA-F]{62,}")
-PEM = re.compile(rb"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----")
-PEM_END = re.compile(rb"-----END [A-Z0-9 ]*PRIVATE KEY-----")
-JWT = re.compile(rb"e[yw][A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+_B64 = rb"[A-Za-z0-9+/_-]"
+#: Line ends within a key: real or escaped.
+_WRAP = rb"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+"
+BASE64_KEY = re.compile(rb"(?<![A-Za-z0-9+/_-])(?:M" + _B64 + rb"{31,}+|b3BlbnNzaC1rZXkt" + _B64
+                        + rb"{24,}+)={0,2}")
+#: How the members of every known private key begin: a version, or the names of a cipher.
+INNER = re.compile(rb"\x30(?:[\x00-\x7f]|\x81.|\x82..|\x83...|\x84....)(?:\x02\x01[\x00\x01]|\x30)",
+                   re.DOTALL)
+PADDING = re.compile(rb"={0,2}")
+PEM64 = re.compile(rb"(?<![A-Za-z0-9+/_-])LS0tLS1CRUdJTi" + _B64 + rb"++(?:" + _WRAP + _B64
+                   + rb"{16,}+)*+(?:" + _WRAP + _B64 + rb"++)?+={0,2}")
+LINE = re.compile(_B64 + rb"++")
+BREAK = re.compile(_WRAP)
+HEX_KEY = re.compile(rb"(?:30|6[fF]70656[eE]7373682[dD]6[bB]65792[dD])[0-9a-fA-F]{62,}+")
+HEX_PAIRS = re.compile(rb"(?<![0-9a-fA-F:])30(?::(?:" + _WRAP
+                       + rb")?+[0-9a-fA-F]{2}(?![0-9a-fA-F])){31,}+")
+PEM = re.compile(rb"-----BEGIN (?:[A-Z0-9]+ ){0,4}PRIVATE KEY-----")
+PEM_END = re.compile(rb"-----END (?:[A-Z0-9]+ ){0,4}PRIVATE KEY-----")
+JWT = re.compile(rb"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))e[yw][A-Za-z0-9_-]{6,}+\.[A-Za-z0-9_-]{2,}+\."
+                 rb"[A-Za-z0-9_-]*+")
 OPENSSH = b"openssh-key-v1\x00"
-BASE64_CHARS = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+#: More levels, members of one value and bytes than any private key has.
 MAX_NESTING = 16
+MAX_MEMBERS = 64
+MAX_KEY = 1 << 14
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,detail:string>>"
 
@@ -80,6 +105,8 @@ def members(data: bytes, at: int, end: int, depth: int = 0) -> list[tuple[int, i
                            or members(data, at, at + length, depth + 1) is None):
             return None
         found.append((tag, at, at + length))
+        if len(found) > MAX_MEMBERS:
+            return None
         at += length
     return found
 
@@ -110,8 +137,9 @@ def der_key(data: bytes) -> str | None:
     return None
 
 
-def openssh_key(data: bytes) -> str | None:
-    """Magic, cipher, kdf, options, key count, then that many public keys and one secret part."""
+def openssh_size(data: bytes) -> int | None:
+    """The bytes of the OpenSSH key that ``data`` begins with: magic, cipher, kdf, options, key
+    count, then that many public keys and one secret part."""
     if not data.startswith(OPENSSH):
         return None
     at = len(OPENSSH)
@@ -131,7 +159,11 @@ def openssh_key(data: bytes) -> str | None:
     count, at = int.from_bytes(data[at:at + 4], "big"), at + 4
     if not 1 <= count <= 64 or any(not block() for _ in range(count)) or not block():
         return None
-    return "openssh" if at == len(data) else None
+    return at
+
+
+def openssh_key(data: bytes) -> str | None:
+    return "openssh" if openssh_size(data) == len(data) else None
 
 
 def key_format(data: bytes | None) -> str | None:
@@ -149,6 +181,61 @@ def pem_key(body: bytes) -> str | None:
     return key_format(data)
 
 
+def der_size(head: bytes) -> int | None:
+    """The bytes of the DER sequence that begins with ``head`` (six bytes or more)."""
+    if head[:1] != b"\x30" or len(head) < 6:
+        return None
+    if head[1] < 0x80:
+        return 2 + head[1]
+    n = head[1] & 0x7F
+    return 2 + n + int.from_bytes(head[2:2 + n], "big") if 1 <= n <= 4 else None
+
+
+def unwrapped(run: bytes) -> bytes | None:
+    """The bytes of base64 over several lines, without what a last single character holds."""
+    chars = BREAK.sub(b"", run).rstrip(b"=")
+    return decode64(chars[:len(chars) - (len(chars) % 4 == 1)])
+
+
+def chars_from(raw: bytes, at: int, need: int) -> bytes:
+    """The base64 characters from ``at`` on over line ends: ``need``, or those there are."""
+    part = raw[at:at + need + need // 2 + 64]
+    for end in (b"\\r\\n", b"\\n", b"\r\n"):
+        part = part.replace(end, b"\n")
+    return LINE.match(b"".join([x.lstrip(b" \t") for x in part.split(b"\n")]), 0, need)[0]
+
+
+def wrapped_key(raw: bytes, at: int) -> tuple[str, int] | None:
+    """(format, end) of the key in base64 that begins at ``at`` and goes on over line ends."""
+    head = decode64(raw[at:at + 28]) or b""
+    size = der_size(head)
+    if size is None and head.startswith(OPENSSH) and head[15:18] == b"\0\0\0" and head[18]:
+        run = chars_from(raw, at, 4 * MAX_KEY // 3)
+        size = openssh_size(decode64(run[:len(run) - (len(run) % 4 == 1)]) or b"")
+    elif size is None or not INNER.match(head):
+        return None
+    if size is None or size > MAX_KEY:
+        return None
+    need, end = (size * 4 + 2) // 3, at
+    chars = chars_from(raw, at, need)
+    detail = key_format(decode64(chars)) if len(chars) == need else None
+    if detail is None:
+        return None
+    while need:  # where the last of these characters stands
+        gap = BREAK.match(raw, end)
+        end = gap.end() if gap else end
+        line = LINE.match(raw, end, end + need)
+        need, end = need - len(line[0]), line.end()
+    return detail, end + len(PADDING.match(raw, end)[0])
+
+
+def encoded_pem(data: bytes | None) -> str | None:
+    """The format of the PEM block that decoded base64 holds."""
+    begin = PEM.search(data or b"")
+    end = PEM_END.search(data, begin.end()) if begin else None
+    return pem_key(data[begin.end():end.start()]) if end else None
+
+
 def jwt_alg(token: bytes) -> str | None:
     head, payload = token.split(b".")[:2]
     try:
@@ -175,21 +262,37 @@ def scan(raw: bytes | None) -> list[tuple[str, int, int, str | None]]:
     for m, following in zip(begins, [*(b.start() for b in begins), len(raw)][1:], strict=False):
         i = bisect.bisect_left(ends, m.end(), key=lambda e: e.start())
         if i < len(ends) and ends[i].start() < following:
-            if detail := pem_key(raw[m.end():ends[i].start()]):
-                found.append(("key", m.start(), ends[i].end(), detail))
-                pems.append((m.start(), ends[i].end()))
+            detail, end = pem_key(raw[m.end():ends[i].start()]), ends[i].end()
+        else:  # no last line: the key's own length ends it
+            gap = BREAK.match(raw, m.end())
+            detail, end = (wrapped_key(raw, gap.end()) if gap else None) or (None, 0)
+        if detail:
+            found.append(("key", m.start(), end, detail))
+            pems.append((m.start(), end))
 
     def inside(m: re.Match) -> bool:
         i = bisect.bisect_right(pems, (m.start(), len(raw) + 1)) - 1
         return i >= 0 and m.start() < pems[i][1]
 
+    upto = 0  # the end of the last wrapped key, whose further lines are no keys of their own
     for m in BASE64_KEY.finditer(raw):
-        alone = not m.start() or raw[m.start() - 1] not in BASE64_CHARS
-        if alone and not inside(m) and (detail := key_format(decode64(m[0]))):
+        if inside(m) or m.start() < upto:
+            continue
+        detail, end = key_format(decode64(m[0])), m.end()
+        if detail is None:
+            detail, end = wrapped_key(raw, m.start()) or (None, 0)
+        if detail:
+            found.append(("key", m.start(), end, detail))
+            upto = end
+    for m in PEM64.finditer(raw):
+        if detail := encoded_pem(unwrapped(m[0])):
             found.append(("key", m.start(), m.end(), detail))
     for m in HEX_KEY.finditer(raw):
         if len(m[0]) % 2 == 0 and (detail := key_format(bytes.fromhex(m[0].decode()))):
             found.append(("key", m.start(), m.end(), detail))
+    for m in HEX_PAIRS.finditer(raw):
+        if detail := key_format(bytes.fromhex(BREAK.sub(b"", m[0]).replace(b":", b"").decode())):
+            found.append(("key", m.start(), m.end(), detail))
     for m in JWT.finditer(raw):
         if detail := jwt_alg(m[0]):
             found.append(("jwt", m.start(), m.end(), detail))
