@@ -359,6 +359,7 @@ def _score_udf(shared):
         import numpy as np
         import pyarrow as pa
 
+        sys.modules.pop("contrail_llm_aligners", None)  # a worker has no more use for its pieces
         keys, counts, best = shared.value
         n_best, total = (np.zeros(len(pairs), np.int64) for _ in range(2))
         for start in range(0, len(pairs), SCORED_ROWS):
@@ -375,41 +376,51 @@ def _score_udf(shared):
     return arrow_udf(score, "n_best bigint, count_sum bigint")
 
 
-def align(docs: DataFrame, text_col: str = "text", a_path: str = A_PATH, b_path: str = B_PATH,
-          keep: list[str] | None = None, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """The columns of ``keep`` (all) with n_a, n_b, n_groups, n_links, n_best, count_sum and
-    groups."""
-    rows = aligned_rows(docs, text_col, a_path, b_path, keep)
-    links = link_counts(rows)
-    own = [c for c in rows.columns if c not in (*MADE, "pairs", "times")]
+def score_rows(rows: DataFrame, links: DataFrame,
+               broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+    """``rows`` (with pairs and times) with n_best and count_sum in their place. ``rows`` may be a
+    projection of the staged ``aligned_rows``: what it leaves out is not carried past Python."""
+    own = [F.col(f"`{c}`") for c in rows.columns if c not in (
+        "pairs", "times", "n_best", "count_sum")]
     if links.count() <= broadcast_pairs:
         import numpy as np
 
         got = links.select("pair", "n", "best").toArrow()
         pairs, n, best = (np.asarray(got[c]) for c in ("pair", "n", "best"))
         order = np.argsort(pairs)
-        shared = docs.sparkSession.sparkContext.broadcast((pairs[order], n[order], best[order]))
+        shared = rows.sparkSession.sparkContext.broadcast((pairs[order], n[order], best[order]))
         scored = rows.withColumn("__s", _score_udf(shared)("pairs", "times"))
-        made = [F.col("__s")["n_best"].alias("n_best"), F.col("__s")["count_sum"].alias(
-            "count_sum")]
-    else:
-        # File and place in it name a row of the staged table in every attempt.
-        uid = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        each = rows.select(uid.alias("__uid"), F.inline(F.arrays_zip("pairs", "times"))).select(
-            "__uid", F.col("pairs").alias("pair"), "times")
-        sums = salted_join(each, links.select("pair", "n", "best"), ["pair"], ["__uid"]).groupBy(
-            "__uid").agg(F.sum(F.col("times") * F.col("best").cast("int")).alias("__b"),
-                         F.sum(F.col("times") * F.col("n")).alias("__n"))
-        scored = rows.withColumn("__uid", uid).join(sums, "__uid", "left")
-        made = [F.coalesce("__b", F.lit(0)).cast("bigint").alias("n_best"),
-                F.coalesce("__n", F.lit(0)).cast("bigint").alias("count_sum")]
-    return scored.select(*(F.col(f"`{c}`") for c in own), *COUNTS, *made, "groups")
-
-
-def alignment_digest(aligned: DataFrame) -> DataFrame:
-    return aligned.select(
-        "doc_id", *MADE[:-1],
-        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"))
+        return scored.select(*own, F.col("__s")["n_best"].alias("n_best"),
+                             F.col("__s")["count_sum"].alias("count_sum"))
+    # File and place in it name a row of the staged table in every attempt.
+    uid = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    each = rows.select(uid.alias("__uid"), F.inline(F.arrays_zip("pairs", "times"))).select(
+        "__uid", F.col("pairs").alias("pair"), "times")
+    sums = salted_join(each, links.select("pair", "n", "best"), ["pair"], ["__uid"]).groupBy(
+        "__uid").agg(F.sum(F.col("times") * F.col("best").cast("int")).alias("__b"),
+                     F.sum(F.col("times") * F.col("n")).alias("__n"))
+    return rows.withColumn("__uid", uid).join(sums, "__uid", "left").select(
+        *own, F.coalesce("__b", F.lit(0)).cast("bigint").alias("n_best"),
+        F.coalesce("__n", F.lit(0)).cast("bigint").alias("count_sum"))
+
+
+def align(docs: DataFrame, text_col: str = "text", a_path: str = A_PATH, b_path: str = B_PATH,
+          keep: list[str] | None = None, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+    """The columns of ``keep`` (all) with n_a, n_b, n_groups, n_links, n_best, count_sum and
+    groups."""
+    rows = aligned_rows(docs, text_col, a_path, b_path, keep)
+    own = [c for c in rows.columns if c not in (*MADE, "pairs", "times")]
+    scored = score_rows(rows, link_counts(rows), broadcast_pairs)
+    return scored.select(*(F.col(f"`{c}`") for c in own), *MADE)
+
+
+def alignment_report(docs: DataFrame, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+    """The op13 query's rows: the groups' hash is taken before the links are scored."""
+    rows = aligned_rows(docs, keep=["doc_id"])
+    hashed = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    scored = score_rows(rows.withColumn("groups_sha256", hashed).drop("groups"), link_counts(rows),
+                        broadcast_pairs)
+    return scored.select("doc_id", *MADE[:-1], "groups_sha256")
 
 
 by_value(__name__)

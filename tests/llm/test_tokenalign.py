@@ -92,7 +92,11 @@ def test_counts_over_all_rows(spark, aligner, bound):
     most = {}
     for (_, b), n in total.items():
         most[b] = max(most.get(b, 0), n)
-    found = ta.alignment_digest(ta.align(docs, broadcast_pairs=bound))
+    found = ta.alignment_report(docs, broadcast_pairs=bound)
+    groups = {w[3] for w in want if w} | {""}
+    aligned = ta.align(docs, broadcast_pairs=bound)
+    assert aligned.columns == ["doc_id", "text", *ta.MADE]
+    assert {r["groups"] for r in aligned.collect()} == groups
     got = Counter(tuple(r) for r in found.collect())
     assert got == Counter(
         (r[0], 0, 0, 0, 0, 0, 0, "") if w is None else
