@@ -6,7 +6,7 @@ oracle pulls in the ones it needs.
 
 from __future__ import annotations
 
-from contrail.plans.derived import wide_columns
+from contrail.plans.derived import csv_line, wide_columns
 
 TRIPS_COLUMNS = ("yr", "mo", "row_key", "carrier", "origin", "dest", "dep_hhmm",
                  "arr_hhmm", "sparse_col", "const_col", "distance", "elapsed", "delay")
@@ -351,6 +351,25 @@ def oracles() -> dict[str, str]:
         f"SELECT var_b, pos_b FROM ({high})"))
     q["drop_correlated"] = with_(["typed"], f"SELECT {_cols(TRIPS_COLUMNS, ('elapsed',))} FROM typed")
     q["string_index"] = with_(["no_null_rows"], _index_counts("no_null_rows"))
+    q["preview_first"] = with_(["trips_clean"], (
+        f"SELECT {all_cols} FROM trips_clean ORDER BY row_key LIMIT 20"))
+    q["csv_rejects"] = (
+        "SELECT CASE c_custkey % 11 WHEN 3 THEN 'short' WHEN 5 THEN 'long' WHEN 7 THEN 'quote' "
+        "ELSE 'ok' END AS reason, CASE WHEN c_custkey % 11 IN (3, 5, 7) THEN " + csv_line()
+        + " ELSE concat_ws('|', c_custkey, CASE WHEN c_custkey % 11 = 9 THEN c_name || ', Inc.' "
+          "ELSE c_name END, c_mktsegment) END AS record FROM customer")
+    q["sink_round_trip"] = with_(["typed"], (
+        "SELECT yr, count(*) AS n_rows, CAST(sum(delay + CASE WHEN yr = 1995 THEN 1000 ELSE 0 END) "
+        "AS BIGINT) AS sum_delay FROM typed GROUP BY yr"))
+    q["dedupe_by_hash"] = q["dedupe"]
+    q["profile_merge"] = with_(["trips_clean"], _profile_union(
+        "trips_clean", TRIPS_COLUMNS,
+        lambda c: (f"count(*) AS n_rows, count(*) - count({c}) AS n_null, "
+                   f"round(CAST(count(*) - count({c}) AS DOUBLE) / count(*) * 100, 6) AS pct_null, "
+                   f"min({c}) AS low, max({c}) AS high")))
+    q["distinct_sketch"] = with_(["trips_clean"], _profile_union(
+        "trips_clean", TRIPS_COLUMNS,
+        lambda c: f"count(DISTINCT {c}) AS n_distinct, false AS outside_error"))
     q["string_index_table"] = with_(["no_null_rows"], _index_counts(
         "no_null_rows", (*PLACES, "row_key")))
     q["corr_wide"] = _corr_wide(wide_columns())

@@ -29,6 +29,7 @@ from contrail.operators.certificates import (
     forest_table,
     training_moments,
 )
+from contrail.operators.dedupe import dedupe_by_hash
 from contrail.operators.enrich import missing_key_count, missing_keys, role_join
 from contrail.operators.features import (
     INDEX_SUFFIX,
@@ -61,6 +62,13 @@ from contrail.operators.profile import (
     null_profile,
     zero_count,
 )
+from contrail.operators.profile_state import (
+    load_states,
+    merge_states,
+    outside_error,
+    profile_state,
+    store_state,
+)
 from contrail.operators.ranking import string_index_table
 from contrail.operators.split import fold_column, hash_bucket, random_split, split_label
 from contrail.operators.stats import (
@@ -72,10 +80,12 @@ from contrail.operators.stats import (
 )
 from contrail.operators.wide_corr import corr_wide
 from contrail.plans.config import TRIPS_CONFIG
-from contrail.plans.derived import wide_columns
+from contrail.plans.derived import csv_line, wide_columns
 from contrail.plans.flows import run_categorical, run_numeric
 from contrail.session import materialize, staging_path
 from contrail.sources.files import merge_inputs, scan_csv, scan_dimension
+from contrail.sources.rejects import scan_csv_checked
+from contrail.sources.sinks import preview, write_parquet
 from contrail.sources.tables import TRIPS_COLUMNS, load_table, spread_table, trips, trips_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +166,30 @@ def q_merge_inputs(spark, d):
     return merge_inputs([text(early), text(late)])
 
 
+def q_preview_first(spark, d):
+    return preview(_clean(spark, d), 20, by=["row_key"])
+
+
+def q_csv_rejects(spark, d):
+    """Customers as CSV lines of which some are short, long, badly quoted, or well quoted."""
+    path, columns = staging_path(spark, "csv"), ["custkey", "name", "segment"]
+    load_table(spark, d, "customer").select(F.expr(csv_line()).alias("line")).write.text(path)
+    rows, rejects = scan_csv_checked(spark, path, columns, header=False)
+    return rows.select(F.lit("ok").alias("reason"), F.concat_ws("|", *columns).alias(
+        "record")).unionAll(rejects.select("reason", "record"))
+
+
+def q_sink_round_trip(spark, d):
+    """Rows partitioned by year, one year written again, and what is there then."""
+    path = staging_path(spark, "sink")
+    rows = _typed(spark, d).select("yr", "row_key", "delay")
+    write_parquet(rows, path, partition_by=["yr"])
+    again = rows.filter("yr = 1995").withColumn("delay", F.col("delay") + 1000)
+    write_parquet(again, path, partition_by=["yr"], dynamic=True)
+    return spark.read.parquet(path).groupBy("yr").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("delay").alias("sum_delay"))
+
+
 # ---------------------------------------------------------------- cleaning
 
 def q_null_token(spark, d):
@@ -202,6 +236,10 @@ def q_dedupe(spark, d):
     return _delivered_twice(spark, d).dropDuplicates()
 
 
+def q_dedupe_by_hash(spark, d):
+    return dedupe_by_hash(_delivered_twice(spark, d))
+
+
 def q_duplicate_count(spark, d):
     return duplicate_count(_delivered_twice(spark, d))
 
@@ -242,6 +280,31 @@ def q_null_profile(spark, d):
     return null_profile(_clean(spark, d)).withColumn("pct_null", _r(F.col("pct_null")))
 
 
+def _states(spark, d):
+    """Stored states of two inputs, one of them delivered again."""
+    path = staging_path(spark, "states")
+    rows = _clean(spark, d)
+    late = "yr > '1995' OR yr IS NULL"
+    for name, where in (("early", "yr <= '1995'"), ("late", "yr IS NULL"), ("late", late)):
+        store_state(profile_state(rows.filter(where), name), path)
+    return load_states(spark, path)
+
+
+def q_profile_merge(spark, d):
+    merged = merge_states(_states(spark, d)).withColumn("pct_null", _r(F.col("pct_null")))
+    return merged.drop("n_distinct")
+
+
+def q_distinct_sketch(spark, d):
+    """The united sketches' estimates beside the exact counts: none may miss by more than the
+    sketch's error."""
+    merged = merge_states(_states(spark, d)).select("column_name", F.col("n_distinct").alias("e"))
+    exact = distinct_profile(_clean(spark, d))
+    return exact.join(merged, "column_name").select(
+        "column_name", "position", "n_distinct",
+        outside_error(F.col("e"), F.col("n_distinct")).alias("outside_error"))
+
+
 def q_zero_count(spark, d):
     return zero_count(_clean(spark, d), "delay")
 
@@ -568,6 +631,9 @@ QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
     "dimension_scan": q_dimension_scan,
     "merge_inputs": q_merge_inputs,
+    "preview_first": q_preview_first,
+    "csv_rejects": q_csv_rejects,
+    "sink_round_trip": q_sink_round_trip,
     "null_token": q_null_token,
     "drop_columns": q_drop_columns,
     "zero_count": q_zero_count,
@@ -578,7 +644,10 @@ QUERIES: dict[str, Query] = {
     "dropped_row_count": q_dropped_row_count,
     "drop_constant": q_drop_constant,
     "distinct_profile": q_distinct_profile,
+    "profile_merge": q_profile_merge,
+    "distinct_sketch": q_distinct_sketch,
     "dedupe": q_dedupe,
+    "dedupe_by_hash": q_dedupe_by_hash,
     "duplicate_count": q_duplicate_count,
     "detect_categorical": q_detect_categorical,
     "category_counts": q_category_counts,
