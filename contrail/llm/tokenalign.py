@@ -40,7 +40,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from contrail.llm.common import by_value, cells, salted_join
-from contrail.session import materialize
+from contrail.session import materialize, staging_path
 
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -49,11 +49,12 @@ MADE = (*COUNTS, "n_best", "count_sum", "groups")
 #: Counted pairs, 17 bytes each, that are sent to every worker.
 BROADCAST_PAIRS = 2_000_000
 #: Pieces that a worker remembers (twice as many at most), and the longest in characters.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 140_000, 64
 LEARNED = 10_000
 #: Rows scored at once.
 SCORED_ROWS = 500
 FLUSH_BYTES = 4 << 20
+ROW_GROUP_BYTES = 16 << 20
 B_MASK = (1 << 32) - 1
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: ASCII digits and marks but the apostrophe, which begins contractions.
@@ -338,8 +339,11 @@ def aligned_rows(docs: DataFrame, text_col: str = "text", a_path: str = A_PATH,
         StructField("groups", StringType()), StructField("pairs", ArrayType(LongType())),
         StructField("times", ArrayType(IntegerType()))])
     work = docs.select(*(F.col(f"`{c}`") for c in own), F.col(f"`{text_col}`").alias("__text"))
-    return materialize(work.mapInArrow(
-        _align_batches(a_path, b_path, len(own), schema.names), schema), "aligned")
+    path = staging_path(docs.sparkSession, "aligned")
+    # Small row groups: a writer holds one of each column in memory, beside the worker's pieces.
+    work.mapInArrow(_align_batches(a_path, b_path, len(own), schema.names), schema).write.option(
+        "parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
 
 
 def link_counts(rows: DataFrame) -> DataFrame:
@@ -359,7 +363,6 @@ def _score_udf(shared):
         import numpy as np
         import pyarrow as pa
 
-        sys.modules.pop("contrail_llm_aligners", None)  # a worker has no more use for its pieces
         keys, counts, best = shared.value
         n_best, total = (np.zeros(len(pairs), np.int64) for _ in range(2))
         for start in range(0, len(pairs), SCORED_ROWS):
