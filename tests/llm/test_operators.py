@@ -516,6 +516,53 @@ def test_personal_bootstrap(spark):
     assert texts[8][s["start"]:s["end"]] == "555-010-7777"
 
 
+def test_personal_contexts(spark):
+    """A context behind much white space counts, discovered identifiers are seeds of the next
+    round, and a candidate that a base span overlaps is none."""
+    texts = [f"so call me at{' ' * 300}+1 555 010 {1000 + i} please" for i in range(8)]
+    texts += [f"then call me at\n\n555-010-77{i}7 today" for i in range(5)]  # found in round one
+    texts += [f"desk line is 555-010-77{i}7 now" for i in range(5)]  # their second pattern
+    texts += ["desk line is 555-010-9999 now", "desk line of 555-010-9998 now"]
+    got = by_id(pii.find_personal(documents(spark, texts), threshold=0.55))
+    found = [",".join(s["kind"] for s in got[i]["spans"]) for i in range(len(texts))]
+    assert found[:8] == ["phone"] * 8
+    assert found[8:13] == found[13:18] == ["ctx_phone"] * 5
+    assert found[18:] == ["ctx_phone", ""]
+    for i in (8, 18):
+        s = got[i]["spans"][0]
+        assert re.fullmatch(r"555-010-\d{4}", texts[i][s["start"]:s["end"]])
+
+
+def test_personal_masked_seeds(spark):
+    rng = random.Random(2)
+    frames = ["please call me at {} today", "her direct line is {} again", "the total was {} items"]
+    texts = []
+    for i in range(240):
+        number = f"+1 555 {rng.randint(100, 999)} {rng.randint(1000, 9999)}"
+        texts += [frames[i % 2].format(number), f"write to mail box u{i}@host{i}.example now"]
+        texts.append(frames[2].format(rng.randint(10 ** 7, 10 ** 8)))
+    got = {r["kind"]: r for r in pii.masked_recall(documents(spark, texts)).collect()}
+    for kind in ("phone", "email"):
+        r = got[kind]
+        assert r["n_masked"] > 20
+        assert r["n_found"] >= 0.9 * r["n_masked"] and r["n_right"] >= 0.95 * r["n_found"]
+
+
+def test_personal_time_grows_with_the_matches(spark):
+    import time
+
+    def seconds(n: int) -> float:
+        docs = documents(spark, ["mail ann.lee@example.com to 10.0.0.1 or 4111111111111111, " * n])
+        began = time.perf_counter()
+        pii.read_spans(docs)
+        return time.perf_counter() - began
+
+    seconds(100)
+    once = min(seconds(10_000) for _ in range(2))
+    assert min(seconds(20_000) for _ in range(2)) < 2.5 * once
+    assert once < 20
+
+
 # --- decontamination ---------------------------------------------------------------------
 
 
