@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -57,7 +58,7 @@ def test_shuffle_carries_no_column_of_the_rows(spark, monkeypatch):
     groups = dict(plans)["dedupe-groups"]
     partial = next(x for x in groups.splitlines() if "functions=[partial_" in x)
     assert "hashpartitioning(_k1" in groups and "keys=[_k1" in partial
-    assert not any(f"{c}#" in partial for c in ("x", "y", "f", "i"))
+    assert not re.search(r"(?<!\w)[xyfi]#", partial)
     assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
 
 
