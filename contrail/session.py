@@ -8,6 +8,8 @@ materialisation points.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +58,32 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_TRACKED: list[list[str]] = []
+
+
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """Lists the folders that are staged inside the ``with`` block, whoever stages them, so that the
+    caller can hand them to ``remove_staged`` once no result reads them::
+
+        with staged_paths() as paths:
+            result.write.parquet(...)
+        remove_staged(spark, *paths)
+    """
+    paths: list[str] = []
+    _TRACKED.append(paths)
+    try:
+        yield paths
+    finally:
+        _TRACKED[:] = [p for p in _TRACKED if p is not paths]
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique sub-folder of the shared staging root."""
-    return f"{staging_root(spark)}/contrail-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{staging_root(spark)}/contrail-{label}-{uuid.uuid4().hex[:12]}"
+    for paths in _TRACKED:
+        paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
