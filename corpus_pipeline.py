@@ -4,6 +4,25 @@ Toxic documents go, repeated lines go, one document of each SimHash group stays,
 documents with benchmark windows go, and the rest is mixed to source weights.
 Each stage works on all that the one before kept and returns the columns of
 documents; the last adds where each document stands in the mixture.
+
+Defined results, stage by stage, for ``documents`` with NULLs, repeats or no rows:
+
+* toxicity: a NULL or empty text scores what a text without known words scores; a NULL id is kept
+  or dropped by its text like any other; NULL labels and labels of absent ids count for nothing;
+  without labels of both kinds the score is the share of toxic labels.
+* line dedup: a NULL text stays NULL; a repeated row counts once a row; a text may become empty.
+* near-duplicates: rows without a word are one group; of a group the smallest id stays (NULL last,
+  then the smallest hash of the text, then of the row); fully repeated rows leave one.
+* decontamination: NULL and empty texts stay; without a benchmark all rows stay.
+* mixing: NULL is a source; rows without words are shown in whole epochs; repeated rows enter the
+  last epoch together.
+
+Columns that the stages do not know are carried along, whatever their names; only ``mix_epoch``,
+``mix_block`` and ``mix_order`` are overwritten by the last stage. Empty tables give empty results.
+
+``run`` removes what a stage staged once the next one has been written, so that not more than two
+copies of the corpus lie in the shared folder; what the last stage reads stays for the caller
+(``staged_paths``).
 """
 
 from __future__ import annotations
@@ -12,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm import decontaminate, linededup, mixing, simhash, toxicity
 from contrail.llm.common import table
-from contrail.session import materialize
+from contrail.session import materialize_at, remove_staged, staged_paths
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +63,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with staged_paths() as paths:
+            docs, path = materialize_at(stage(spark, docs, sf_dir),
+                                        f"stage-{name.replace(' ', '-')}")
+        remove_staged(spark, *last, *(p for p in paths if p != path))
+        last = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
