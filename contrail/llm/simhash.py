@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from contrail.llm.common import by_value, cells, salted_join, text_hash
+from contrail.llm.common import by_value, cells, checked, salted_join, text_hash
 from contrail.llm.components import connected_components
 from contrail.session import materialize
 
@@ -108,25 +108,33 @@ def simhash_groups(docs: DataFrame, words_in_shingle: int = 3, max_bits: int = 2
 
 def keep_one_of_each(docs: DataFrame, words_in_shingle: int = 3, max_bits: int = 2,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: that of the smallest id (NULL last), then
-    of the smallest text hash. Row columns are kept as they are."""
+    """``docs`` with one row of each group: that of the smallest id (NULL last), then of the
+    smallest text hash; of rows equal in both, that of the smallest hash of all columns. Row
+    columns are kept as they are. The rows to leave out are listed, not those to keep, so texts
+    are not shuffled while that list is within the broadcast bound."""
     groups = simhash_groups(docs, words_in_shingle, max_bits, id_col, text_col)
-    first = groups.groupBy("root").agg(F.min(F.struct(
-        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("__id"),
-        F.col("text_key").alias("__key"))).alias("s"))
-    rows = groups.groupBy(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).agg(
-        F.count("*").alias("__rows"))
-    kept = materialize(first.select("s.__id", "s.__key").join(
-        rows.withColumnsRenamed({"__id": "i", "__key": "k"}),
-        F.col("__id").eqNullSafe(F.col("i")) & (F.col("__key") == F.col("k"))).select(
-        "__id", "__key", "__rows"), "kept")
-    match = docs[id_col].eqNullSafe(F.col("__id")) & (text_hash(docs[text_col]) == F.col("__key"))
-    single = docs.join(kept.filter("__rows = 1"), match, "left_semi")
-    several = kept.filter("__rows > 1")
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                     F.col("text_key").alias("key"))
+    members = materialize(groups.groupBy("root", order.alias("m")).agg(
+        F.count("*").alias("n")), "members")
+    first = members.groupBy("root").agg(F.min("m").alias("first"), F.count("*").alias("texts"))
+    met = salted_join(members, first.filter("texts > 1"), ["root"], ["m"], "left")
+    named = [F.col("m.id").alias("__id"), F.col("m.key").alias("__key")]
+    out = F.col("first").isNotNull() & (F.col("m") != F.col("first"))
+    losers = materialize(met.filter(out).select(*named), "losers")
+    several = materialize(met.filter(~F.coalesce(out, F.lit(False)) & (F.col("n") > 1)).select(
+        *named), "several")
+    match = lambda side: (docs[id_col].eqNullSafe(side["__id"])
+                          & (text_hash(docs[text_col]) == side["__key"]))
+    left = docs.join(checked(losers), match(losers), "left_anti")
     if several.isEmpty():
-        return single
-    return single.unionAll(docs.join(several, match, "left_semi").dropDuplicates(
-        [id_col, text_col]))
+        return left
+    whole = F.struct(*(docs[c] for c in docs.columns))
+    one = (left.join(checked(several), match(several), "left_semi")
+           .groupBy(docs[id_col].alias("__i"), text_hash(docs[text_col]).alias("__k"))
+           .agg(F.min_by(whole, F.xxhash64(*(docs[c] for c in docs.columns))).alias("__row")))
+    return left.join(checked(several), match(several), "left_anti").unionAll(
+        one.select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns)))
 
 
 by_value(__name__)
