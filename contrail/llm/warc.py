@@ -6,8 +6,10 @@ that refer to it and hold no payload. Records go out through Spark's text sink
 (one record a row, record end as line separator), so task commit, retries and
 any file system that Spark knows hold for archives too.
 
-The reader checks each record: version line, header, length, record end, and
-the payload's SHA-1 against its header. After a failed check it searches
+The reader checks each record: version line (any WARC version), header (lines may be folded),
+length, record end, and the payload against the digest that its header states
+(``digest_agrees``). A digest that it cannot compute, or of a payload with a transfer
+coding, does not damage a record: ``verified`` is false then, and NULL without a digest. After a failed check it searches
 for the next version line or gzip member, whatever the file began with, at which a
 record passes all checks, goes on there, and logs the bytes between as a ``gap`` with the
 reason. Of a damaged member the records that inflate before the damage are kept, and
@@ -38,13 +40,15 @@ from contrail.session import materialize, staging_path
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+VERSION = re.compile(rb"WARC/[0-9]{1,3}\.[0-9]{1,3}\r\n")
+FOLD = re.compile(rb"\r\n[\x20\t]+")
+ALGORITHMS = ("md5", "sha1", "sha256", "sha384", "sha512")
 MEMBER = b"\x1f\x8b\x08"
 CHUNK = 1 << 16
 ID = re.compile(r"<urn:page:(-?\d*)>")
 RECORD = ("file string, kind string, start bigint, end bigint, reason string, record_type string, "
           "record_id string, target_uri string, refers_to string, payload_digest string, "
-          "payload_bytes bigint, payload binary")
+          "payload_bytes bigint, verified boolean, payload binary")
 
 
 def base32_of_hex(digest: Column) -> Column:
@@ -107,6 +111,26 @@ def write_warc(pages: DataFrame, path: str, records_per_file: int = 2_000,
         step, low, high = step + 1, high + 1, high << 4
 
 
+def digest_agrees(header: str, payload: bytes) -> bool | None:
+    """Whether ``payload`` has the digest that a header states (``algorithm:value`` in any case,
+    the value in hex, base32 or base64; SHA-1 without a name); None where that cannot be told."""
+    name, colon, value = header.rpartition(":")
+    name, value = (name.strip().lower().replace("-", "") if colon else "sha1"), value.strip()
+    if name not in ALGORITHMS:
+        return None
+    raw = hashlib.new(name, payload, usedforsecurity=False).digest()
+    if len(value) == 2 * len(raw):
+        return value.lower() == raw.hex()
+    value = value.rstrip("=")
+    thirty_two = base64.b32encode(raw).decode().rstrip("=")
+    if len(value) == len(thirty_two):
+        return value.upper() == thirty_two
+    sixty_four = base64.b64encode(raw).decode().rstrip("=")
+    if len(value) == len(sixty_four):
+        return value.replace("-", "+").replace("_", "/") == sixty_four
+    return None  # no encoding that is known
+
+
 def _record(data, at: int):
     """(fields, end) of the record at ``at``, or (None, reason)."""
     if not VERSION.match(data, at):
@@ -115,7 +139,7 @@ def _record(data, at: int):
     if stop < 0:
         return None, "header end"
     fields = {}
-    for row in data[at:stop].split(b"\r\n")[1:]:
+    for row in FOLD.sub(b" ", data[at:stop]).split(b"\r\n")[1:]:
         name, colon, value = row.partition(b":")
         if not colon:
             return None, "header line"
@@ -128,26 +152,31 @@ def _record(data, at: int):
     begin, end = stop + 4, stop + 4 + int(length)
     if data[end:end + 4] != b"\r\n\r\n":
         return None, "record end"
-    payload = data[begin:end]
+    payload, coded = data[begin:end], False
     if fields.get(b"content-type", "").startswith("application/http"):
         body = payload.find(b"\r\n\r\n")
         if body < 0:
             return None, "http header"
+        # Writers differ in whether a transfer coding counts as payload.
+        coded = b"transfer-encoding:" in payload[:body].lower()
         payload = payload[body + 4:]
+    stated, verified = fields.get(b"warc-payload-digest", ""), None
     digest = fields.get(b"warc-payload-digest", "").removeprefix("sha1:")
     size = len(payload)
     if kind == "revisit":
         n = fields.get(b"x-payload-length", "")
         size = int(n) if n.isascii() and n.isdigit() else None
     else:
-        found = base64.b32encode(hashlib.sha1(payload, usedforsecurity=False).digest()).decode()
-        if digest and digest != found:
-            return None, "payload digest"
-        digest = found
+        if stated:
+            verified = digest_agrees(stated, payload)
+            if verified is False and not coded:
+                return None, "payload digest"
+            verified = bool(verified)
+        digest = base64.b32encode(hashlib.sha1(payload, usedforsecurity=False).digest()).decode()
     return ({"kind": "record", "reason": None, "record_type": kind,
              "record_id": fields[b"warc-record-id"], "target_uri": fields.get(b"warc-target-uri"),
              "refers_to": fields.get(b"warc-refers-to"), "payload_digest": digest or None,
-             "payload_bytes": size, "payload": payload}, end + 4)
+             "payload_bytes": size, "verified": verified, "payload": payload}, end + 4)
 
 
 def _gap(start: int, end: int, reason: str) -> dict:
@@ -267,7 +296,8 @@ def _parse(with_payload: bool):
     def parse(batches):
         import pyarrow as pa
 
-        types = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+        types = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(),
+                 "boolean": pa.bool_()}
         schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in RECORD.split(", ")])
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
@@ -298,11 +328,15 @@ def page_number(urn: Column) -> Column:
 
 
 def warc_round_trip(pages: DataFrame, **columns) -> DataFrame:
-    """Writes ``pages`` to the shared folder and reports what is read back."""
+    """Writes ``pages`` to the shared folder and reports what is read back; a gap in archives that
+    were just written is an error."""
     path = staging_path(pages.sparkSession, "warc")
     write_warc(pages, path, **columns)
-    rows = read_warc(pages.sparkSession, path, with_payload=False).filter("kind = 'record'")
-    return rows.select(page_number(F.col("record_id")).alias("page_id"), "payload_bytes",
+    rows = read_warc(pages.sparkSession, path, with_payload=False)
+    gap = F.raise_error(F.concat_ws(" ", F.lit("gap in a written archive:"), "file", "reason"))
+    page = F.when(F.col("kind") == "record", page_number(F.col("record_id"))).otherwise(
+        gap.cast("bigint"))
+    return rows.select(page.alias("page_id"), "payload_bytes",
                        "payload_digest", "record_type",
                        page_number(F.col("refers_to")).alias("refers_to"))
 
