@@ -8,8 +8,8 @@ the softmax of those means at ``sharpness``.
 
 Learning takes, for each language, a bounded sample of its documents (about
 ``per_language``, by a hash of id and text, repeatable); counts are summed on
-executors, and the table that reaches the driver and is broadcast holds at most
-``max_entries`` words and n-grams of each order and language.
+executors, and the table that reaches the driver and is broadcast holds every word and n-gram
+of the sample, whose size bounds it.
 
 Defined results: ``und`` with score 0 for a NULL text, one without letters, or
 when nothing could be learned; ties go to the language first in order; NULL
@@ -23,16 +23,16 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from contrail.llm.common import by_value, cells, hash_below, held_out, learnable
+from contrail.llm.common import by_value, cells, checked_join, held_out, learnable
+from contrail.session import materialize
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 PER_LANGUAGE = 1_500
-MAX_ENTRIES = 60_000
 CACHE = 200_000
 COUNTS = "lang string, size int, token string, n bigint"
 
@@ -75,22 +75,19 @@ def _count_batches(batches):
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", per_language: int = PER_LANGUAGE,
-          max_entries: int = MAX_ENTRIES) -> Backoff:
+          lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Backoff:
     import numpy as np
 
     rows = docs.filter(learnable(F.col(id_col)) & F.col(lang_col).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
-    picked = F.lit(False)
-    for lang, n in sizes.items():
-        picked = picked | ((F.col(lang_col) == lang) & hash_below(
-            per_language, n, F.col(id_col), F.col(text_col)))
-    counts = (rows.filter(picked).select(F.col(lang_col), F.col(text_col))
-              .mapInArrow(_count_batches, COUNTS)
-              .groupBy("lang", "size", "token").agg(F.sum("n").alias("n")))
-    first = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "token"))
-    kept = (counts.withColumn("r", first).filter(F.col("r") <= max_entries)
-            .select("lang", "size", "token", "n").toArrow())
+    # Languages are joined, not listed: a table may name any number of them.
+    rows = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
+                       F.col(text_col).alias("text"))
+    sizes = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    part = F.xxhash64(F.lit(7), "id", "text").bitwiseAND(F.lit((1 << 63) - 1)) / float(1 << 63)
+    picked = checked_join(rows, sizes, ["lang"], ["id"]).filter(
+        (F.col("n") <= per_language) | (part < F.lit(float(per_language)) / F.col("n")))
+    kept = (picked.select("lang", "text").mapInArrow(_count_batches, COUNTS)
+            .groupBy("lang", "size", "token").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(set(kept["lang"].to_pylist()))
     tokens, table = {}, {}
     lang_no = {x: i for i, x in enumerate(languages)}
