@@ -23,7 +23,9 @@ Defined results: a NULL or empty text scores the bias alone; words are runs of
 ASCII letters, digits and non-ASCII characters, A-Z lower-cased; repeated
 documents score alike; a document labelled twice counts as toxic if either
 label says so; NULL labels and ids are not learned from; without labels of
-both classes, every score is the share of toxic labels (0 without any).
+both classes, every score is the share of toxic labels (0 without any). Labels that no
+single words explain leave very many pairs to search: beyond ``max_pair_entries`` the
+fit ends with an error that gives the figures.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ BEGINNINGS = (4, 5, 6, 7)  # bytes
 THRESHOLD = 0.3
 MAX_TRAIN_ROWS = 8_000
 CACHE = 500_000
+#: Terms of texts that the search for pairs may look at before it gives up with an error.
+MAX_PAIR_ENTRIES = 1_000_000_000
 
 
 @dataclass
@@ -154,7 +158,8 @@ def _entries(at, starts, texts):
 
 
 def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_documents: int = 5,
-        l2: float = 0.02, rounds: int = 300, rate: float = 0.05, seed: int = 11) -> Machine:
+        l2: float = 0.02, rounds: int = 300, rate: float = 0.05, seed: int = 11,
+        max_pair_entries: int = MAX_PAIR_ENTRIES) -> Machine:
     import numpy as np
 
     y = np.asarray(labels, dtype=np.float64)
@@ -206,7 +211,7 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
         marks = np.random.default_rng(seed).integers(0, 1 << 62, len(y), dtype=np.int64)
         same = np.add.reduceat(marks[row[of_term]], places[:-1])
         _, one, group = np.unique(same, return_index=True, return_inverse=True)
-        found = np.zeros(len(one), dtype=bool)
+        found, looked = np.zeros(len(one), dtype=bool), 0
         for side, chance in ((y > 0, expected), (y == 0, 1 - expected)):
             cost = np.where(side, -np.log(chance), 0)
             most = 2 * np.bincount(at, cost[row], len(terms))[one]
@@ -221,6 +226,12 @@ def fit(rows: list, labels, bits: int, k: int = 4, strict: float = 4.5, min_docu
             for a, g in enumerate(sought):
                 texts = texts_of(one[g])
                 b, of = _entries(near, begin, texts[side[texts]])
+                looked += len(b)
+                if looked > max_pair_entries:
+                    raise ValueError(
+                        f"the labels are not explained by single words: {len(sought)} terms could "
+                        f"matter in pairs, and {a} of them took {looked} entries of texts; learn "
+                        "from fewer rows or raise max_pair_entries")
                 mates = np.flatnonzero(2 * np.bincount(b, cost[of], len(sought)) > bound)
                 mates = sought[mates[mates > a]]
                 if len(mates):
@@ -258,8 +269,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = materialize(known.join(there, "__id", "left_semi"), "labelled")
     sample = materialize(known.filter(hash_below(max_train_rows, known.count(), F.col("__id"))),
                          "sample")
-    # The sample is bounded and counted, so no text is shuffled to meet it.
-    rows = (docs.join(checked(sample), docs[id_col] == sample["__id"])
+    # The sample is bounded and counted, so no text is shuffled to meet it. An id that many documents
+    # share must not bring them all: beyond twice the bound they are drawn as well.
+    met = docs.join(checked(sample), docs[id_col] == sample["__id"])
+    n = met.select("__id").count()
+    rows = (met.filter(hash_below(2 * max_train_rows, n, docs[id_col], docs[text_col]))
             .select("__id", "__y", bucket_udf(bits)(docs[text_col]).alias("b"))
             .groupBy("__id", "__y", "b").count().orderBy("__id", "b")
             .select("b", F.col("__y").cast("double").alias("y")).toArrow())

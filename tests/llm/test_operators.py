@@ -832,6 +832,31 @@ def salvaged(data):
     return [int(r["record_id"][10:-1]) if r["kind"] == "record" else "gap" for r in rows]
 
 
+def test_warc_foreign_archives():
+    """Digests of other algorithms and encodings, folded headers and other versions are no damage."""
+    body = "é one".encode()
+    raw = {n: hashlib.new(n, body).digest() for n in ("sha1", "sha256", "md5")}
+    thirty_two = base64.b32encode(raw["sha1"]).decode()
+    stated = {f"sha1:{thirty_two}": True, f"SHA1:{thirty_two.lower()}": True, thirty_two: True,
+              "sha1:" + raw["sha1"].hex(): True, "sha256:" + raw["sha256"].hex().upper(): True,
+              "sha-256:" + base64.b64encode(raw["sha256"]).decode(): True,
+              "md5:" + raw["md5"].hex(): True, "blake3:" + "0" * 64: False, "sha1:short": False}
+
+    def archive(digest, version="1.0", fold=False):
+        line = f"WARC-Payload-Digest:{chr(13) + chr(10) + ' ' if fold else ' '}{digest}\r\n"
+        return (f"WARC/{version}\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x>\r\n{line}"
+                f"Content-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n"
+
+    for digest, told in stated.items():
+        for version in ("0.18", "1.0", "1.1", "2.0"):
+            for fold in (False, True):
+                got = list(warc.salvage(archive(digest, version, fold)))
+                assert [r["kind"] for r in got] == ["record"], digest
+                assert got[0]["verified"] is told and got[0]["payload_digest"] == thirty_two
+    for digest in ("sha1:" + "A" * 32, "md5:" + "0" * 32, "sha256:" + "0" * 64):
+        assert [r["reason"] for r in warc.salvage(archive(digest))] == ["payload digest"]
+
+
 def test_warc_salvage_of_damaged_beginnings_and_mixed_files():
     import gzip
 
