@@ -63,7 +63,7 @@ def edge_rows():
 def edge_dir(spark):
     path = staging_path(spark, "edges")
     spark.createDataFrame(edge_rows(), EDGES).write.parquet(f"{path}/documents.parquet")
-    spark.createDataFrame([(i, None, i % 2 if i else None) for i in range(9)],
+    spark.createDataFrame([(i, None, int(i == 8) if i else None) for i in range(9)],
                           "doc_id bigint, quality int, toxic int").write.parquet(
         f"{path}/labels.parquet")
     spark.createDataFrame([("b1", None), (None, "zeta eta theta"), ("b2", ""), ("b3", "one")],
