@@ -249,7 +249,7 @@ def test_topk_matches_brute_force(spark):
     vectors = spark.createDataFrame([(i, v, "x") for i, v in rows],
                                     "vec_id bigint, embedding array<double>, score string")
     got: dict = {}
-    for r in topk.top_k(vectors, block_rows=40, query_rows=2).orderBy("query_id", "rank").collect():
+    for r in topk.top_k(vectors, block_rows=40, query_bytes=64).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     assert got == brute_topk(rows, 5)
     few = topk.top_k(vectors.filter("vec_id in (0, 1)"))
