@@ -57,26 +57,30 @@ TAIL = 200
 FREE = len(BASE_KINDS)
 
 
-def _pieces(text: Column, no: int, pattern: str) -> Column:
-    """array<struct<no, at, gap, size, value, before>>: each match with the number of code points
-    since the match before it, and the last words between the two (of the match before, if the
-    piece has but one)."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+def _pieces(found: Column, between: Column, no: int) -> Column:
+    """array<struct<no, at, gap, size, value, tail, last>> of the matches of a pattern and what stands
+    between them: how many code points since the match before it, their end (as a rule the last
+    two words are in it, else all of them), and the match before."""
 
     def match(x: Column, i: Column) -> Column:
-        gap = x["gap"]
-        tail = F.right(gap, F.lit(TAIL))  # as a rule the two words are in it
-        words = F.regexp_extract(F.when(F.rlike(tail, F.lit(r"\s\S++\s++\S++\s*+$")), tail
-                                        ).otherwise(gap), LAST_WORDS, 0)
-        last = F.regexp_extract(F.get(found, i - 1), r"(?<!\S)\S++$", 0)
-        two = F.rlike(words, F.lit(r"\S\s++\S"))
+        gap, tail = x["gap"], F.right(x["gap"], F.lit(TAIL))
+        whole = F.rlike(tail, F.lit(r"\s\S++\s++\S++\s*+$"))
         return F.struct(F.lit(no).alias("no"), i.alias("at"), F.char_length(gap).alias("gap"),
                         F.char_length(x["value"]).alias("size"), x["value"].alias("value"),
-                        F.when(two | (i == 0), words).otherwise(F.concat(last, gap)).alias(
-                            "before"))
+                        F.when(whole, tail).otherwise(gap).alias("tail"), x["last"].alias("last"))
 
-    return F.transform(F.arrays_zip(between.alias("gap"), found.alias("value")), match)
+    n = F.size(found)
+    last = F.slice(F.concat(F.array(F.lit("")), found), F.lit(1), n)
+    return F.transform(F.arrays_zip(F.slice(between, F.lit(1), n).alias("gap"),
+                                    found.alias("value"), last.alias("last")), match)
+
+
+def _before() -> Column:
+    """The last two words before a match, with the match before it where the piece has but one."""
+    words = F.regexp_extract("tail", LAST_WORDS, 0)
+    two = F.rlike(words, F.lit(r"\S\s++\S"))
+    return F.when(two | (F.col("at") == 0), words).otherwise(
+        F.concat(F.regexp_extract("last", r"(?<!\S)\S++$", 0), F.col("tail")))
 
 
 def _valid() -> Column:
@@ -99,8 +103,17 @@ def read_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     patterns = [*PATTERNS.values(), CANDIDATE]
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    read = materialize(texts.select("row", "doc_id", F.concat(*(
-        _pieces(F.col("text"), no, p) for no, p in enumerate(patterns))).alias("m")), "pii")
+    # Projections of their own: each pattern runs over a text once, and again to split it only
+    # where it was found.
+    none = F.array().cast("array<string>")
+    found = texts.select("*", *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(f"found{no}")
+                                for no, p in enumerate(patterns)))
+    parts = found.select("row", "doc_id", *(f"found{no}" for no in range(len(patterns))), *(
+        F.when(F.size(f"found{no}") > 0, F.split("text", p, -1)).otherwise(none).alias(
+            f"between{no}") for no, p in enumerate(patterns)))
+    read = materialize(parts.select("row", "doc_id", F.concat(*(
+        _pieces(F.col(f"found{no}"), F.col(f"between{no}"), no)
+        for no in range(len(patterns)))).alias("m")), "pii")
     along = Window.partitionBy("row", "no").orderBy("at")
     end = F.sum(F.col("gap") + F.col("size")).over(along)
     placed = read.select("row", F.inline("m")).withColumn("end", end.cast("int")).withColumn(
@@ -115,7 +128,7 @@ def read_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = placed.withColumns({"reach": reach, "following": following}).filter(
         ~free | ((F.coalesce("reach", F.lit(0)) <= F.col("start"))
                  & (F.coalesce("following", F.col("end")) >= F.col("end"))))
-    lexical = F.trim(F.regexp_replace(F.regexp_replace(F.lower("before"), r"[0-9]+", "0"),
+    lexical = F.trim(F.regexp_replace(F.regexp_replace(F.lower(_before()), r"[0-9]+", "0"),
                                       r"\s+", " "))
     instance = F.regexp_replace(F.lower("value"), r"[\x20()+-]", "")
     edges = spans.select(
