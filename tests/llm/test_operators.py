@@ -963,3 +963,86 @@ def test_queries_on_tables(spark):
         assert sorted(names) == sorted(got.columns), name
         assert sorted(map(str, rows.fetchall())) == sorted(
             str(tuple(r[n] for n in names)) for r in got.collect()), name
+
+
+# --- plain loops beside the models ---------------------------------------------------------
+
+
+def test_language_scores_by_a_plain_loop(spark):
+    rng = random.Random(12)
+    stems = {"en": ["the", "of", "house", "tree"], "de": ["der", "haus", "baum", "über"],
+             "fr": ["été", "maison", "arbre", "le"]}
+    rows = [(i, " ".join(rng.choice(stems[lang]) + rng.choice(["", "s", "en"])
+                         for _ in range(rng.randint(1, 30))), lang)
+            for i in range(300) for lang in [rng.choice(list(stems))]]
+    rows += [(301, "hausmeister 12 xyzzy", None), (302, "123 ...", "en"), (303, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.learn(docs)
+    got = {r["doc_id"]: (r["prediction"]["lang"], r["prediction"]["score"])
+           for r in langid.predict_language(docs, model).collect()}
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2 and r[2]]
+    counts = {s: {} for s in (0, *langid.ORDERS)}
+    for _, text, lang in learned:
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            for size in counts:
+                for g in [word] if not size else langid.grams(word, size):
+                    counts[size].setdefault(g, dict.fromkeys(stems, 0))[lang] += 1
+
+    def logs(size, token):
+        out = []
+        for lang in sorted(stems):
+            total = sum(c[lang] for c in counts[size].values())
+            out.append(np.log((counts[size][token][lang] + 0.1)
+                              / (total + 0.1 * (len(counts[size]) + 1))))
+        return np.array(out)
+
+    for doc, text, _ in rows:
+        words, found = re.findall(r"[^\W\d_]+", (text or "").lower()), []
+        for word in words:
+            if word in counts[0]:
+                found.append(logs(0, word))
+                continue
+            for size in langid.ORDERS:
+                known = [logs(size, g) for g in langid.grams(word, size) if g in counts[size]]
+                if known:
+                    found.append(np.mean(known, axis=0))
+                    break
+        if not words:
+            assert got[doc] == ("und", 0.0)
+            continue
+        mean = np.mean(found, axis=0) if found else np.zeros(3)
+        share = np.exp(4.0 * (mean - mean.max()))
+        assert got[doc][0] == sorted(stems)[int(mean.argmax())], text
+        assert abs(got[doc][1] - share.max() / share.sum()) < 1e-4
+
+
+def test_languages_of_any_number_are_sampled_by_a_join(spark):
+    rows = [(i, f"wort{i % 7} text", f"l{i % 120}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(langid.learn(docs).languages) == 120
+    few = langid.learn(docs, per_language=2)
+    assert 0 < len(few.languages) <= 120
+
+
+def test_pair_search_ends_with_an_error():
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 400, 60)).astype(np.int32) for _ in range(600)]
+    labels = rng.random(600) < 0.3
+    with pytest.raises(ValueError, match="not explained by single words"):
+        toxicity.fit(rows, labels, 30, max_pair_entries=1_000)
+
+
+def test_an_id_of_many_documents_does_not_fill_the_sample(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randint(0, 10 ** 6)}" for _ in range(20))
+    rows = [(1, text()) for _ in range(900)] + [(i, text()) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    seen = []
+    real, toxicity.fit = toxicity.fit, lambda found, *a, **k: seen.append(len(found)) or real(
+        found, *a, **k)
+    try:
+        toxicity.train(docs, labels, max_train_rows=100)
+    finally:
+        toxicity.fit = real
+    assert 100 < seen[0] < 300
