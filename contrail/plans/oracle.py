@@ -223,33 +223,54 @@ def _corr_wide(columns: dict[str, str]) -> str:
             f"SELECT k, k, 1.0 FROM (SELECT unnest(generate_series(0, {len(names) - 1}))::INT AS k))")
 
 
+def _listed(columns, source: str, when) -> str:
+    """The names of the columns for which the aggregate ``when(c)`` holds over ``source``, sorted."""
+    cases = ", ".join(f"CASE WHEN {when(c)} THEN '{c}' END" for c in sorted(columns))
+    return f"(SELECT concat_ws(',', {cases}) FROM {source})"
+
+
 def _flow_report(numeric: bool) -> str:
-    """Counts and dropped columns of a flow over rows delivered twice. Which columns are
-    sparse, constant, text or listed as correlated follows from how ``trips`` is made."""
+    """Counts and dropped columns of a flow over rows delivered twice, all from the rows: only the
+    list of correlated columns is a setting, in the flow as here."""
     clean = f"SELECT DISTINCT {_cols(NO_CONST_COLS)} FROM no_null_rows"
     kept = " AND ".join(f"NOT ({tol_int(t)} > 2359)" for t in TIMES)
     # a place of region 0 is listed twice, so its rows are doubled, once a role
-    times = ("(CASE WHEN o.n_regionkey = 0 THEN 2 ELSE 1 END "
-             "* CASE WHEN e.n_regionkey = 0 THEN 2 ELSE 1 END)") if numeric else "1"
-    joins = (" JOIN nation o ON c.origin = o.n_name JOIN nation e ON c.dest = e.n_name"
+    dim = "(SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_regionkey = 0)"
+    joins = (f" LEFT JOIN {dim} o ON c.origin = o.n_name LEFT JOIN {dim} e ON c.dest = e.n_name"
              if numeric else "")
-    total = lambda where: (f"(SELECT CAST(coalesce(sum({times}), 0) AS BIGINT) "
-                           f"FROM ({clean}) c{joins} WHERE {where})")
+    met = "o.n_name IS NOT NULL AND e.n_name IS NOT NULL" if numeric else "true"
+    total = lambda where: f"(SELECT count(*) FROM ({clean}) c{joins} WHERE {where})"
+    lost = " OR ".join(f"{tol_int('c.' + c)} IS NULL" for c in NUMERIC)
     n, complete = "(SELECT 2 * count(*) FROM trips_clean)", "(SELECT 2 * count(*) FROM no_null_rows)"
     distinct = f"(SELECT count(*) FROM ({clean}))"
     items = {"n_rows": n, "dropped_null_rows": f"{n} - {complete}",
              "n_rows_after_dedupe": distinct, "duplicates": f"{complete} - {distinct}",
-             "rows_without_lookup": "0", "invalid_time_rows": total(f"NOT ({kept})"),
-             "rows_dropped_by_cast": "0", "n_rows_clean": total(kept)}
+             "rows_without_lookup": total(f"NOT ({met})"),
+             "invalid_time_rows": total(f"{met} AND NOT ({kept})"),
+             "rows_dropped_by_cast": total(f"{met} AND {kept} AND ({lost})"),
+             "n_rows_clean": total(f"{met} AND {kept} AND NOT ({lost})")}
     if numeric:
-        items |= {"n_missing_keys": "0", "n_rows_after_joins": total("true"),
+        keys = "SELECT origin FROM no_null_rows UNION SELECT dest FROM no_null_rows"
+        items |= {"n_missing_keys": f"(SELECT count(*) FROM ({keys} EXCEPT SELECT n_name FROM nation))",
+                  "n_rows_after_joins": total(met),
                   "dim_duplicate_keys": "(SELECT count(*) FROM nation WHERE n_regionkey = 0)"}
-    drops = {"sparse_dropped": "sparse_col", "constant_dropped": "const_col",
-             "unencoded_dropped": "", "correlated_dropped": "elapsed"}
+    free = [c for c in TRIPS_COLUMNS if c not in ("row_key", "delay")]  # neither key nor target
+    complete_free = [c for c in free if c in NO_NULL_COLS]
+    encoded = ("carrier", "origin", "dest")  # all that hold letters, or as the numeric flow names them
+    drops = {
+        "sparse_dropped": _listed(free, "trips_clean", lambda c: f"count({c}) < 0.75 * count(*)"),
+        "constant_dropped": _listed(complete_free, "no_null_rows",
+                                    lambda c: f"count(DISTINCT {c}) = 1"),
+        "unencoded_dropped": _listed(
+            [c for c in complete_free if c not in encoded], "no_null_rows",
+            lambda c: f"count(DISTINCT {c}) > 1 AND bool_or(regexp_matches({c}, '\\p{{L}}'))"),
+        "correlated_dropped": "'elapsed'"}
     rows = [f"SELECT '{k}' AS item, CAST({v} AS BIGINT) AS n, '' AS columns"
             for k, v in items.items()]
-    rows += [f"SELECT '{k}', {len(v.split(',')) if v else 0}, '{v}'" for k, v in drops.items()]
-    return "\nUNION ALL\n".join(rows)
+    rows += [f"SELECT '{k}', len(string_split(nullif({v}, ''), ',')), {v}" if v[0] == "(" else
+             f"SELECT '{k}', 1, {v}" for k, v in drops.items()]
+    return ("SELECT item, CAST(coalesce(n, 0) AS BIGINT) AS n, columns FROM ("
+            + "\nUNION ALL\n".join(rows) + ")")
 
 
 def oracles() -> dict[str, str]:
