@@ -69,3 +69,24 @@ def test_empty_and_many_partitions(spark):
     got = ranking.category_ranks(ids, ["k"]).orderBy("idx").select("value", "idx").collect()
     assert [r["value"] for r in got] == sorted(str(i) for i in range(20_000))
     assert [r["idx"] for r in got] == list(range(20_000))
+
+
+def test_a_large_side_is_joined_once_a_value_and_a_small_one_broadcast(spark, monkeypatch):
+    """Ranks are not copied a salt, and a small column is not shuffled for a large one's sake."""
+    monkeypatch.setattr(ranking, "HOT_VALUES", 3)
+    df = rows_of(spark)
+    by_model, _ = string_index(df, ["k", "small"])
+    out, _ = string_index_table(df, ["k", "small"], broadcast_max_bytes=2000)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("strategy=merge") == 1
+    assert sorted(out.collect()) == sorted(by_model.collect())
+
+
+def test_frequent_values_that_the_fit_lacks(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "HOT_VALUES", 2)
+    fit = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "k string")
+    new = spark.createDataFrame([("zz",)] * 5 + [("c",)] * 3 + [("a",), ("b",), (None,)], "k string")
+    keep, _ = string_index_table(new, ["k"], fit_df=fit, handle_invalid="keep",
+                                 broadcast_max_bytes=0)
+    got = sorted((r["k"] or "", r["k_Index"]) for r in keep.collect())
+    assert got == sorted([("zz", 3.0)] * 5 + [("c", 2.0)] * 3 + [("a", 0.0), ("b", 1.0), ("", 3.0)])
