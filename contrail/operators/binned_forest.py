@@ -336,12 +336,15 @@ def grow(train: DataFrame, label: str, features: str, n_rows: int, num_trees: in
     the thresholds or sums are beyond their bounds."""
     import numpy as np
 
-    rows = train.select(vector_to_array(F.col(f"`{features}`")).alias("x"),
-                        F.col(f"`{label}`").cast("double").alias("y"))
+    columns = [vector_to_array(F.col(f"`{features}`")).alias("x"),
+               F.col(f"`{label}`").cast("double").alias("y")]
+    rows = train.select(*columns)
     n_features = len(rows.first().x)
     if not 0 < n_features <= MAX_FEATURES:
         return None
-    sample = rows.sample(False, min(1.0, SPLIT_ROWS / n_rows), seed).toArrow().combine_chunks()
+    # only the sampled rows' vectors are made arrays
+    sample = train.sample(False, min(1.0, SPLIT_ROWS / n_rows), seed).select(
+        *columns).toArrow().combine_chunks()
     x = sample["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
     x, y = x.reshape(-1, n_features), sample["y"].to_numpy()
     # labels are shifted by a whole number near their mean, so that squares keep their digits

@@ -65,3 +65,33 @@ def test_categorical_whole_column_rule(spark):
 def test_unknown_stat(spark, stat):
     with pytest.raises(ValueError):
         profile_columns(spark.range(1), (stat,))
+
+
+def test_first_rows_settle_only_what_they_prove(spark):
+    """Constancy and letters are those of all rows, whatever the first rows show."""
+    from contrail.operators.profile import constant_and_letters, profile_columns
+    rows = [(str(i % 3), "K", "K" if i < 500 else "L", "7" if i != 900 else "x",
+             None if i < 800 else "1", None, i % 2 if i > 600 else 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "many string, one string, late string, letter string, "
+                                     "nulls string, none string, n int").repartition(1)
+    want = profile_columns(df, ("is_constant", "has_letters")).collect()
+    for few in (1, 10, 1000, 5000):
+        got = constant_and_letters(df, few)
+        assert [r.asDict() for r in got] == [r.asDict() for r in want]
+    assert {r.column_name for r in want if r.is_constant} == {"one", "nulls"}
+    assert {r.column_name for r in want if r.has_letters} == {"one", "late", "letter"}
+    empty = constant_and_letters(df.filter("n > 5"))
+    assert [r.asDict() for r in empty] == [
+        r.asDict() for r in profile_columns(df.filter("n > 5"),
+                                            ("is_constant", "has_letters")).collect()]
+
+
+def test_settled_columns_are_not_read_again(spark, monkeypatch):
+    from contrail.operators import profile
+    asked = []
+    real = profile._stat_exprs
+    monkeypatch.setattr(profile, "_stat_exprs",
+                        lambda name, field, stat: asked.append((name, stat)) or real(name, field, stat))
+    df = spark.createDataFrame([("a", "1"), ("b", "2")], "letters string, digits string")
+    profile.constant_and_letters(df)
+    assert asked[6:] == [("digits", "has_letters")]
