@@ -137,3 +137,22 @@ def test_too_many_features_are_left_to_spark(points, monkeypatch):
     assert binned_forest.grow(points, "y", "features", 6000, 2, 5) is None
     monkeypatch.setattr(models, "FOREST_CACHE_BYTES", 0)
     assert models.fit_forest(points, "y", num_trees=2).getNumTrees == 2
+
+
+def test_flow_stages_the_features_of_many_rows_once(spark, flights_csv, monkeypatch):
+    from contrail.plans import flows
+    from contrail.plans.config import PipelineConfig
+    from contrail.sources import scan_csv
+    cfg = PipelineConfig(split_key=("Month", "DepTime", "Distance"), forest_trees=5)
+    few = flows.run_categorical(scan_csv(spark, flights_csv), cfg)
+    assert "staged_features" not in few.report
+    monkeypatch.setattr(flows, "STAGE_FEATURE_ROWS", 0)
+    monkeypatch.setattr(models, "FOREST_CACHE_BYTES", 0)
+    many = flows.run_categorical(scan_csv(spark, flights_csv), cfg)
+    files = many.encoded.inputFiles()
+    assert files and all(many.report["staged_features"] in f for f in files)
+    a, b = ({r.model: r for r in m.metrics.collect()} for m in (few, many))
+    assert a["linear"].n == b["linear"].n == b["forest"].n
+    assert abs(a["linear"].rmse - b["linear"].rmse) < 1e-6
+    assert b["forest"].r2 > 0.3
+    assert many.encoded.schema["features"].metadata == few.encoded.schema["features"].metadata
