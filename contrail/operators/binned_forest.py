@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.session import materialize_at, remove_staged
+from contrail.session import materialize_at, remove_staged, staging_root
 
 if TYPE_CHECKING:
     import numpy as np
@@ -333,9 +333,14 @@ def _stage(rows: DataFrame, groups: list[Group], cuts: list, n_features: int, sh
 
 def grow(train: DataFrame, label: str, features: str, n_rows: int, num_trees: int, seed: int):
     """``(trees, thresholds, shift, number of features)``: the root ``Node`` of each tree; None if
-    the thresholds or sums are beyond their bounds."""
+    the thresholds or sums are beyond their bounds, or the session names no staging folder."""
     import numpy as np
 
+    try:
+        staging_root(train.sparkSession)
+    except RuntimeError:
+        return None
+
     columns = [vector_to_array(F.col(f"`{features}`")).alias("x"),
                F.col(f"`{label}`").cast("double").alias("y")]
     rows = train.select(*columns)

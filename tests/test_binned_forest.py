@@ -139,6 +139,14 @@ def test_too_many_features_are_left_to_spark(points, monkeypatch):
     assert models.fit_forest(points, "y", num_trees=2).getNumTrees == 2
 
 
+def test_without_a_staging_folder_the_forest_is_sparks(points, monkeypatch):
+    def none(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    monkeypatch.setattr(binned_forest, "staging_root", none)
+    monkeypatch.setattr(models, "FOREST_CACHE_BYTES", 0)
+    assert models.fit_forest(points, "y", num_trees=2).getNumTrees == 2
+
+
 def test_flow_stages_the_features_of_many_rows_once(spark, flights_csv, monkeypatch):
     from contrail.plans import flows
     from contrail.plans.config import PipelineConfig
